@@ -17,7 +17,7 @@ from parcelry.operators.lookup import collect_bounded
 
 ACCURACY = 10_000
 # Half-width of a bracket, in units of the sketch's guaranteed rank error.
-MARGIN = 2.0
+MARGIN = 3.0
 
 
 def _clean(column):
