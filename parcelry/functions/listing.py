@@ -146,7 +146,7 @@ def title_floors(title):
 
     A title with both a count and a number follows the count.
     """
-    counted = find_number(title, r"(?iuU)(\d+)\s*(?:tầng|lầu)") + 1
+    counted = F.try_add(find_number(title, r"(?iuU)(\d+)\s*(?:tầng|lầu)"), F.lit(1))
     numbered = find_number(title, r"(?iuU)(?:tầng|lầu)\s*(\d+)")
     return F.coalesce(counted, numbered)
 

@@ -1,6 +1,6 @@
 """Incremental ingest, windowed counts and streaming feature transforms."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from parcelry.plans.extraction import listings_from_pages
 
@@ -40,7 +40,7 @@ def ingest_new(stream, sink, checkpoint, ident="id"):
     def append(batch, batch_id):
         spark = batch.sparkSession
         fresh = batch.filter(F.coalesce(F.col(ident).cast("string"), F.lit("")) != "").dropDuplicates([ident])
-        stored = _existing(spark, sink, batch.schema.add("batch", "bigint"))
+        stored = _existing(spark, sink, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())]))
         if stored is not None:
             fresh = fresh.join(stored.filter(F.col("batch") != batch_id).select(ident), ident, "left_anti")
         fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
