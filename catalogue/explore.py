@@ -107,9 +107,9 @@ def a8(spark, folder):
 
 @register(
     "a9_null_profile",
-    f"""{HOMES}, a AS (UNPIVOT (SELECT count(*) - count(id) AS id, count(*) - count(area_m2) AS area_m2, count(*) - count(floors) AS floors FROM homes) ON COLUMNS(*) INTO NAME column VALUE left_missing),
- b AS (UNPIVOT (SELECT count(*) - count(id) AS id, count(*) - count(area_m2) AS area_m2, count(*) - count(bedrooms) AS bedrooms FROM homes WHERE key % 2 = 0) ON COLUMNS(*) INTO NAME column VALUE right_missing)
- SELECT * FROM a FULL JOIN b USING (column)""",
+    f"""{HOMES}, a AS (UNPIVOT (SELECT count(*) - count(id) AS id, count(*) - count(area_m2) AS area_m2, count(*) - count(floors) AS floors FROM homes) ON COLUMNS(*) INTO NAME "column" VALUE left_missing),
+ b AS (UNPIVOT (SELECT count(*) - count(id) AS id, count(*) - count(area_m2) AS area_m2, count(*) - count(bedrooms) AS bedrooms FROM homes WHERE key % 2 = 0) ON COLUMNS(*) INTO NAME "column" VALUE right_missing)
+ SELECT coalesce(a."column", b."column") AS "column", left_missing, right_missing FROM a FULL JOIN b ON b."column" = a."column" """,
 )
 def a9(spark, folder):
     rows = homes(spark, folder, located=False)
@@ -154,7 +154,7 @@ def a14(spark, folder):
 @register(
     "a15_regression_line",
     f"""{HOMES} SELECT round(regr_slope(price_million_vnd, area_m2), 6) AS slope, round(regr_intercept(price_million_vnd, area_m2), 4) AS intercept,
- round(regr_r2(price_million_vnd, area_m2), 6) AS r2, regr_count(price_million_vnd, area_m2) AS n FROM homes""",
+ round(regr_r2(price_million_vnd, area_m2), 6) AS r2, CAST(regr_count(price_million_vnd, area_m2) AS BIGINT) AS n FROM homes""",
 )
 def a15(spark, folder):
     line = X.regression_line(homes(spark, folder, located=False), "area_m2", "price_million_vnd")

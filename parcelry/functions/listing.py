@@ -1,14 +1,20 @@
 """Listing fields from card mark-up and from the phrases inside it.
 
-All are column expressions. Every pattern runs with ``(?iuU)`` or ``(?U)`` so
-that white space includes the no-break space and case folds for accented
-letters. A number too big for its type becomes NULL instead of an error.
+All are column expressions. Patterns spell out white space as ``WS``, which
+includes the no-break space: Java's ``\\s`` is ASCII only, and its Unicode mode
+is several times slower. ``(?iu)`` folds the case of accented letters. A number
+too big for its type becomes NULL instead of an error.
 """
 
 from functools import reduce
 
 from pyspark.sql import functions as F
 
+from parcelry.functions.scalar import strip
+
+# The characters Unicode counts as white space.
+WS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 # Hours per unit of relative age.
 HOURS_PER_UNIT = {"giờ": 1, "ngày": 24, "tuần": 168, "tháng": 720, "năm": 8760}
 
@@ -17,19 +23,25 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def non_empty(text):
+    """NULL for an empty text. Unlike ``nullif`` this computes its argument once."""
+    return F.get(F.filter(F.array(text), lambda t: t != ""), F.lit(0))
+
+
 def find(text, pattern, group=1):
     """First match of the group, or NULL."""
-    return F.nullif(F.regexp_extract(_col(text), pattern, group), F.lit(""))
+    return non_empty(F.regexp_extract(_col(text), pattern, group))
 
 
 def find_number(text, pattern, group=1, kind="int"):
+    """Number in the first match, or NULL. An empty text is not cast: failing casts are slow."""
     return find(text, pattern, group).try_cast(kind)
 
 
 # --- mark-up ----------------------------------------------------------------
 
 NAMED_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-_TAGS = r"(?sU)\s*(?:(?:<!--.*?-->|<[^>]*>)\s*)+"
+_TAGS = rf"(?s){WS}*(?:(?:<!--.*?-->|<[^>]*>){WS}*)+"
 
 
 def _decode(text):
@@ -37,7 +49,7 @@ def _decode(text):
 
 
 def _trimmed(text):
-    return F.nullif(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    return non_empty(strip(text))
 
 
 def joined_text(markup):
@@ -58,8 +70,8 @@ def element_pattern(tag, css_class=None):
 
 
 def element(markup, tag, css_class=None):
-    """Inner mark-up of the first such element, or NULL. Elements of one tag must not nest."""
-    return find(markup, element_pattern(tag, css_class))
+    """Inner mark-up of the first such element, empty without one. Elements of one tag must not nest."""
+    return F.regexp_extract(_col(markup), element_pattern(tag, css_class), 1)
 
 
 def elements(markup, tag, css_class=None):
@@ -68,7 +80,7 @@ def elements(markup, tag, css_class=None):
 
 def card_blocks(page):
     """Mark-up of every linked listing card inside the page's card container."""
-    container = find(page, r'(?s)<div[^>]*class="gap-24 d-flex flex-column card-container"[^>]*>(.*)')
+    container = F.regexp_extract(_col(page), r'(?s)<div[^>]*class="gap-24 d-flex flex-column card-container"[^>]*>(.*)', 1)
     links = F.regexp_extract_all(container, F.lit(r"(?s)<a\s[^>]*>.*?</a>"), F.lit(0))
     is_card = r'^<a\s(?=[^>]*href=")(?=[^>]*class="(?:[^"]*\s)?card-cm(?:\s[^"]*)?")'
     return F.filter(links, lambda a: a.rlike(is_card))
@@ -96,7 +108,7 @@ def card_title(card):
 
 
 def card_location(card):
-    return F.regexp_replace(spaced_text(element(card, "div", "description")), r"(?U)\s+,", ",")
+    return F.regexp_replace(spaced_text(element(card, "div", "description")), rf"{WS}+,", ",")
 
 
 def card_age(card):
@@ -122,7 +134,7 @@ def absolute_url(href, base_url):
 
 def age_hours(text):
     """Hours of a relative age; units without an entry (minutes) give NULL."""
-    pattern = rf"(?U)(\d+)\s*({'|'.join(HOURS_PER_UNIT)})"
+    pattern = rf"(\d+){WS}*({'|'.join(HOURS_PER_UNIT)})"
     text = F.lower(_col(text))
     unit = find(text, pattern, 2)
     hours = F.create_map(*[F.lit(x) for pair in HOURS_PER_UNIT.items() for x in pair])
@@ -136,9 +148,9 @@ def first_number(facts, pattern):
 
 
 # "70.5 m²" gives 5: the digits must touch the unit.
-AREA = r"(?U)(\d+)\s*m²"
-BEDROOMS = r"(?U)(\d+)\s*Phòng\s*ngủ"
-BATHROOMS = r"(?U)(\d+)\s*WC"
+AREA = rf"(\d+){WS}*m²"
+BEDROOMS = rf"(\d+){WS}*Phòng{WS}*ngủ"
+BATHROOMS = rf"(\d+){WS}*WC"
 
 
 def title_floors(title):
@@ -146,41 +158,38 @@ def title_floors(title):
 
     A title with both a count and a number follows the count.
     """
-    counted = F.try_add(find_number(title, r"(?iuU)(\d+)\s*(?:tầng|lầu)"), F.lit(1))
-    numbered = find_number(title, r"(?iuU)(?:tầng|lầu)\s*(\d+)")
+    counted = F.try_add(find_number(title, rf"(?iu)(\d+){WS}*(?:tầng|lầu)"), F.lit(1))
+    numbered = find_number(title, rf"(?iu)(?:tầng|lầu){WS}*(\d+)")
     return F.coalesce(counted, numbered)
 
 
 def detail_floors(text):
     """Storeys named in a detail text; the written word wins over its abbreviations."""
     text = F.lower(_col(text))
-    spellings = [r"(?U)\b(\d+)\s*(?:tầng|lầu)\b", r"(?U)\b(\d+)\s*t\b", r"(?U)\b(\d+)\s*l\b"]
+    start, end = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+    spellings = [rf"{start}(\d+){WS}*{unit}{end}" for unit in ("(?:tầng|lầu)", "t", "l")]
     return F.coalesce(*[find_number(text, p) for p in spellings])
 
 
 def has_frontage(title):
-    return F.coalesce(_col(title).rlike(r"(?iuU)mặt\s+(tiền|phố|đường)"), F.lit(False))
+    return F.coalesce(_col(title).rlike(rf"(?iu)mặt{WS}+(?:tiền|phố|đường)"), F.lit(False))
 
 
 def price_million(text):
-    """Price phrase in millions. It must start with the number; the most specific reading wins.
+    """Price phrase in millions. It must start with the number.
 
-    A decimal such as "2.5 tỷ" is read up to its point, as a bare number.
+    A number with "tỷ" or "triệu" may be followed by the next smaller amount or
+    by "rưỡi", a half. A decimal such as "2.5 tỷ" is read up to its point, as a
+    bare number.
     """
     text = F.lower(_col(text))
-
-    def number(pattern, group=1):
-        return find_number(text, pattern, group, "double")
-
-    def reading(pattern, build):
-        pattern = "(?U)^" + pattern
-        return F.when(text.rlike(pattern), build(pattern))
-
-    return F.coalesce(
-        reading(r"(\d+)\s*triệu\s*(\d+)\s*(?:nghìn|ngàn)", lambda p: F.round(number(p) + number(p, 2) / 1000, 3)),
-        reading(r"(\d+)\s*tỷ\s*(\d+)\s*triệu", lambda p: number(p) * 1000 + number(p, 2)),
-        reading(r"(\d+)\s*tỷ\s*rưỡi", lambda p: number(p) * 1000 + 500),
-        reading(r"(\d+)\s*triệu\s*rưỡi", lambda p: number(p) + 0.5),
-        reading(r"(\d+)\s*tỷ", lambda p: number(p) * 1000),
-        reading(r"(\d+)", number),
+    pattern = rf"^(\d+)(?:{WS}*(tỷ|triệu)(?:{WS}*(\d+){WS}*(triệu|nghìn|ngàn)|{WS}*(rưỡi))?)?"
+    whole, part = (find_number(text, pattern, group, "double") for group in (1, 3))
+    unit, part_unit, half = (F.regexp_extract(text, pattern, group) for group in (2, 4, 5))
+    billions = F.when(part_unit == "triệu", part).when(half != "", 500.0).otherwise(0.0)
+    millions = F.when(part_unit.isin("nghìn", "ngàn"), part / 1000).when(half != "", 0.5).otherwise(0.0)
+    return (
+        F.when(unit == "tỷ", whole * 1000 + billions)
+        .when(unit == "triệu", F.round(whole + millions, 3))
+        .otherwise(whole)
     )

@@ -4,6 +4,12 @@ import math
 
 from pyspark.sql import functions as F
 
+# The characters Unicode counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 REFERENCE_DATE = "2025-09-21"
 
 
@@ -13,7 +19,7 @@ def _col(c):
 
 def strip(c):
     """Trim all Unicode white space, not only U+0020."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def ward_and_province(location):

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from parcelry.functions.scalar import strip
 from parcelry.operators.lookup import lookup
 
 # Provinces before the 2025 merger, grouped by the province they became.
@@ -80,7 +81,7 @@ def renaming_table(spark, groups):
 
 def translate(df, column, table, name, default="Other"):
     """Look ``column`` up in an (old, new) table, ignoring case and outer spaces."""
-    key = F.lower(F.regexp_replace(F.col(column), r"(?U)^\s+|\s+$", ""))
+    key = F.lower(strip(column))
     joined = lookup(df.withColumn("old", key), table, "old", "left")
     return joined.withColumn(name, F.coalesce(F.col("new"), F.lit(default))).drop("old", "new")
 
