@@ -1 +1,192 @@
+from pyspark.sql import functions as F
 
+from catalogue.explore import METRICS, box_sql, metric_row, rounded
+from catalogue.registry import homes, places, register, table
+from parcelry.operators import explore as X, regression as M
+from parcelry.operators.reshape import id_unit, train_test_split, with_fold
+from parcelry.plans import features as feature_plan, scoring
+
+FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+UNIT = "((((l_orderkey % 2147483648) * 1103515245 + 12345 + 7919 * 42) % 2147483648) // 65536) / 32768"
+
+
+def lines(spark, folder):
+    """Line items with the label in thousands and a fold per order."""
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", *FEATURES, (F.col("l_extendedprice") / 1000).alias("y"))
+    return with_fold(rows, id_unit("l_orderkey"))
+
+
+def vectors(spark, folder):
+    return M.assemble(lines(spark, folder), FEATURES)
+
+
+def one_feature(spark, folder, estimator):
+    model = estimator.fit(M.assemble(lines(spark, folder), ["l_quantity"]), "y")
+    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double").select(
+        F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept")
+    )
+
+
+SUMS = """WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem),
+ s AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM d)"""
+
+
+@register("m1_least_squares", f"{SUMS} SELECT round(sxy / sxx, 6) AS slope, round(my - mx * sxy / sxx, 6) AS intercept FROM s")
+def m1(spark, folder):
+    return one_feature(spark, folder, M.LeastSquares())
+
+
+@register("m2_ridge", f"{SUMS}, w AS (SELECT sxy / (sxx + 5000.0 / n) AS w, * FROM s) SELECT round(w, 6) AS slope, round(my - mx * w, 6) AS intercept FROM w")
+def m2(spark, folder):
+    return one_feature(spark, folder, M.RidgeRegression(alpha=5000))
+
+
+@register("m3_lasso", f"{SUMS}, w AS (SELECT sign(sxy) * greatest(abs(sxy) - 20, 0) / sxx AS w, * FROM s) SELECT round(w, 6) AS slope, round(my - mx * w, 6) AS intercept FROM w")
+def m3(spark, folder):
+    return one_feature(spark, folder, M.LassoRegression(alpha=20.0))
+
+
+@register(
+    "m4_elastic_net_search",
+    f"""WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y, floor({UNIT} * 5) AS fold FROM lineitem), k AS (SELECT unnest(range(5)) AS k),
+ t AS (SELECT k, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM d, k WHERE fold <> k GROUP BY k),
+ g AS (SELECT r, pow(10, -3 + 4 * i / 19.0) AS a FROM (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9]) AS r), (SELECT unnest(range(20)) AS i)),
+ w AS (SELECT k, r, a, mx, my, sign(sxy) * greatest(abs(sxy) - a * r, 0) / (sxx + a * (1 - r)) AS w FROM t, g),
+ e AS (SELECT r, a, k, avg(pow(y - (my - mx * w) - w * x, 2)) AS e FROM w JOIN d ON fold = k GROUP BY r, a, k)
+ SELECT r::DOUBLE AS l1_ratio, round(a, 9) AS alpha, round(avg(e), 6) AS error FROM e GROUP BY r, a""",
+)
+def m4(spark, folder):
+    """Held-out error of every penalty, all from one pass over the rows."""
+    scores, _ = M.elastic_net_path(lines(spark, folder), ["l_quantity"], "y")
+    found = spark.createDataFrame(scores, "l1_ratio double, alpha double, error double")
+    return found.select("l1_ratio", F.round("alpha", 9).alias("alpha"), F.round("error", 6).alias("error"))
+
+
+def scored(spark, folder, estimator, name):
+    train, test = train_test_split(vectors(spark, folder), id_unit("l_orderkey", 7))
+    return M.evaluate(estimator.fit(train, "y"), test, "y", name)
+
+
+@register("m5_decision_tree")
+def m5(spark, folder):
+    return scored(spark, folder, M.TreeRegression(), "decision tree")
+
+
+@register("m6_random_forest")
+def m6(spark, folder):
+    return scored(spark, folder, M.ForestRegression(numTrees=10, maxDepth=6), "random forest")
+
+
+@register("m7_boosted_trees")
+def m7(spark, folder):
+    return scored(spark, folder, M.BoostedRegression(maxIter=10, maxDepth=4), "boosted trees")
+
+
+@register("m8_stacking")
+def m8(spark, folder):
+    """Ridge and a tree, out of fold, under a final ridge."""
+    train, test = train_test_split(vectors(spark, folder), id_unit("l_orderkey", 7))
+    stack = M.Stacking({"ridge": M.RidgeRegression(5.0), "tree": M.TreeRegression(maxDepth=5)}, M.RidgeRegression(1.0), passthrough=True)
+    return M.evaluate(stack.fit(train, "y"), test, "y", "stack")
+
+
+@register(
+    "m9_fold_scores",
+    f"""SELECT fold, {METRICS.replace(', count(*) AS n', '')}, count(*) AS n FROM (SELECT CAST(floor({UNIT} * 5) AS INTEGER) AS fold, l_extendedprice / 1000 AS y, l_quantity * 1.5 AS p FROM lineitem) GROUP BY fold""",
+)
+def m9(spark, folder):
+    rows = lines(spark, folder).select("fold", "y", (F.col("l_quantity") * 1.5).alias("p"))
+    return metric_row(X.error_metrics(rows, "y", "p", "fold"))
+
+
+@register(
+    "m9_cross_validated_line",
+    f"""WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y, CAST(floor({UNIT} * 5) AS INTEGER) AS fold FROM lineitem), k AS (SELECT unnest(range(5)) AS k),
+ t AS (SELECT k, regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM d, k WHERE fold <> k GROUP BY k),
+ e AS (SELECT fold, sqrt(avg(pow(y - b - w * x, 2))) AS rmse FROM d JOIN t ON fold = k GROUP BY fold)
+ SELECT round(avg(rmse), 6) AS mean, round(stddev_pop(rmse), 6) AS std FROM e""",
+)
+def m9_cv(spark, folder):
+    rows = M.assemble(lines(spark, folder), ["l_quantity"])
+    return rounded(M.spread(M.cross_validate(M.LeastSquares, rows, "y")))
+
+
+def price_model(spark, folder):
+    """The listing features, fitted steps and a linear price model, all from the given tables."""
+    train, _, steps = feature_plan.train_and_test(homes(spark, folder).drop("key"))
+    inputs = [c for c in train.columns if c not in ("id", "log_price")]
+    renamed = train.toDF(*[c if c in ("id", "log_price") else f"f{inputs.index(c)}" for c in train.columns])
+    model = M.RidgeRegression(10.0).fit(M.assemble(renamed, [f"f{i}" for i in range(len(inputs))]), "log_price")
+
+    def score(df):
+        order = {c: f"f{i}" for i, c in enumerate(inputs)}
+        kept = [c for c in df.columns if c not in order]
+        named = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(n) for c, n in order.items()])
+        return M.predict(model, M.assemble(named, list(order.values())))
+
+    return steps, score, feature_plan.area_labels(train)
+
+
+@register("m10_batch_scoring")
+def m10(spark, folder):
+    """A price for every listing that has what the model needs."""
+    steps, score, known = price_model(spark, folder)
+    rows = feature_plan.with_location_and_date(homes(spark, folder).drop("title", "detail_url", "price_million_vnd"))
+    return scoring.predict_prices(rows, steps, score, known).select("id", "predicted_price")
+
+
+@register("m11_ward_comparison")
+def m11_wards(spark, folder):
+    steps, score, known = price_model(spark, folder)
+    return scoring.predict_prices(scoring.ward_grid(wards(spark, folder), 1999, 6), steps, score, known)
+
+
+def wards(spark, folder):
+    return places(spark, folder).select(F.col("n_name").alias("ward"), F.col("r_name").alias("province")).distinct()
+
+
+@register("m11_monthly_trend")
+def m11_months(spark, folder):
+    steps, score, known = price_model(spark, folder)
+    return scoring.predict_prices(scoring.monthly_grid(wards(spark, folder), 1999), steps, score, known)
+
+
+@register("m11_sensitivity")
+def m11_sensitivity(spark, folder):
+    steps, score, known = price_model(spark, folder)
+    return scoring.predict_prices(scoring.sensitivity_grid("NATION_1", "AMERICA", 1999, 6, spark), steps, score, known)
+
+
+@register(
+    "m11_scenario_deltas",
+    """WITH h AS (SELECT o_orderkey, CAST(o_custkey % 5 AS INTEGER) AS bedrooms, CAST(o_custkey % 4 AS INTEGER) AS bathrooms, CAST(o_custkey % 3 AS INTEGER) AS floors,
+ CAST(o_custkey % 100 AS INTEGER) AS area_m2, o_orderstatus = 'F' AS frontage FROM orders),
+ s AS (SELECT unnest(['Base Case', '+1 Bedroom', '+1 Bathroom', '+1 Floor', 'No Frontage', 'With Frontage', 'Renovated (+10m²)', 'Major Renovation (+30m²)']) AS scenario)
+ SELECT o_orderkey, scenario, CASE scenario WHEN '+1 Bedroom' THEN 3.0 WHEN '+1 Bathroom' THEN 2.0 WHEN '+1 Floor' THEN 4.0
+ WHEN 'No Frontage' THEN CASE WHEN frontage THEN -7.0 ELSE 0.0 END WHEN 'With Frontage' THEN CASE WHEN frontage THEN 0.0 ELSE 7.0 END
+ WHEN 'Renovated (+10m²)' THEN 5.0 WHEN 'Major Renovation (+30m²)' THEN 15.0 ELSE 0.0 END::DOUBLE AS price_delta FROM h, s""",
+)
+def m11_scenarios(spark, folder):
+    """Eight variants of every order as a house, priced by a fixed linear rule."""
+    key = F.col("o_custkey")
+    houses = table(spark, folder, "orders").select(
+        "o_orderkey", (key % 5).cast("int").alias("bedrooms"), (key % 4).cast("int").alias("bathrooms"), (key % 3).cast("int").alias("floors"),
+        (key % 100).cast("int").alias("area_m2"), (F.col("o_orderstatus") == "F").alias("frontage"),
+    )
+    priced = scoring.scenarios(houses).withColumn(
+        "predicted_price", F.expr("3.0D * bedrooms + 2.0D * bathrooms + 4.0D * floors + 0.5D * area_m2 + 7.0D * CAST(frontage AS INT)")
+    )
+    return scoring.scenario_deltas(priced, ["o_orderkey"]).select("o_orderkey", "scenario", "price_delta")
+
+
+@register("m12_residual_boxes", "WITH src AS (SELECT l_linenumber, l_extendedprice - l_quantity * 1500 AS r FROM lineitem)" + box_sql("src", "l_linenumber", "r"))
+def m12(spark, folder):
+    rows = table(spark, folder, "lineitem").select("l_linenumber", (F.col("l_extendedprice") - F.col("l_quantity") * 1500).alias("r"))
+    return rounded(X.box_stats(rows, "l_linenumber", "r"))
+
+
+@register("m13_bootstrap_interval")
+def m13(spark, folder):
+    """Spread of the predicted price of one line over 100 refits on resampled rows."""
+    fits = M.bootstrap_linear(lines(spark, folder), ["l_orderkey", "l_linenumber", "l_partkey"], ["l_quantity", "l_discount"], "y")
+    return M.prediction_interval(fits, [20.0, 0.05])
