@@ -149,9 +149,9 @@ def power_sql(source, column, bend, slope):
  l AS (SELECT p, -0.5 * count(*) * ln(var_pop({bend})) + (p - 1) * sum({slope}) AS l FROM x, g GROUP BY p) SELECT round(arg_max(p, l), 1)::DOUBLE AS power FROM l"""
 
 
-@register("f11_box_cox_fit", power_sql("events", "value", "(pow(x, p) - 1) / p", "ln(x)"))
+@register("f11_box_cox_fit", power_sql("orders", "o_totalprice", "(pow(x, p) - 1) / p", "ln(x)"))
 def f11_fit(spark, folder):
-    step = prep.BoxCoxTransformer("value").fit(table(spark, folder, "events"))
+    step = prep.BoxCoxTransformer("o_totalprice").fit(table(spark, folder, "orders"))
     return fitted_power(spark, step)
 
 

@@ -49,7 +49,9 @@ def drop_sparse_where_missing(df, lead, columns, limit=2):
 
 def cap_at_quantiles(df, caps):
     """Keep rows not above the column quantiles in ``caps`` ({column: p}); NULLs stay."""
-    cuts = {c: q[0] for p in sorted(set(caps.values())) for c, q in column_quantiles(df, [c for c in caps if caps[c] == p], [p]).items()}
+    probs = sorted(set(caps.values()))
+    found = column_quantiles(df, list(caps), probs)
+    cuts = {c: found[c][probs.index(p)] for c, p in caps.items()}
     return df.filter(reduce(lambda a, b: a & b, [(F.col(c) <= cut) | F.col(c).isNull() for c, cut in cuts.items()]))
 
 

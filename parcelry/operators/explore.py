@@ -51,10 +51,10 @@ def shares(df, key):
 def monthly_series(df, date, value, keys=()):
     """Rows and median value per calendar month (``yyyy-MM``) and key."""
     keys = _keys(keys)
-    rows = df.filter(F.col(date).isNotNull()).select(*keys, F.date_format(F.col(date), "yyyy-MM").alias("month"), F.col(value))
-    rows = _present(rows, keys) if keys else rows
+    rows = df.select(*keys, F.trunc(F.col(date).cast("date"), "month").alias("month"), F.col(value)).dropna(subset=[*keys, "month"])
     counts = rows.groupBy(*keys, "month").agg(F.count(F.lit(1)).alias("listings"))
-    return counts.join(group_median(rows, [*keys, "month"], value, "median_value"), [*keys, "month"], "left")
+    series = counts.join(group_median(rows, [*keys, "month"], value, "median_value"), [*keys, "month"], "left")
+    return series.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
 def count_by_month_start(df, year, month):
@@ -73,7 +73,7 @@ def describe(df, columns=None):
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = group_quantiles(rows, "column", "value", [0.25, 0.5, 0.75]).select(
+    quartiles = group_quantiles(rows, "column", "value", [0.25, 0.5, 0.75], direct_rows=0).select(
         "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
     )
     named = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")

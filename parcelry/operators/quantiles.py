@@ -7,6 +7,8 @@ aggregation counts the values inside these brackets one by one and everything
 between the brackets as a single cell. Ranks are then read off the running
 count over the cells, whose number is bounded by the bracket width, not by
 the group. Both aggregations combine on the map side.
+
+Groups known to be small go to ``percentile`` instead, which needs one pass.
 """
 
 import math
@@ -16,6 +18,8 @@ from pyspark.sql import Window, functions as F
 from parcelry.operators.lookup import collect_bounded
 
 ACCURACY = 10_000
+# Groups of at most this many rows are small enough for the map ``percentile`` keeps.
+DIRECT_ROWS = 50_000
 # Half-width of a bracket, in units of the sketch's guaranteed rank error.
 MARGIN = 3.0
 
@@ -26,7 +30,7 @@ def _clean(column):
     return F.when(~F.isnan(value), value)
 
 
-def group_quantiles(df, keys, value, probs, accuracy=ACCURACY):
+def group_quantiles(df, keys, value, probs, accuracy=ACCURACY, direct_rows=DIRECT_ROWS):
     """One row per group: the keys, ``n`` and ``q``, an array in the order of ``probs``.
 
     Missing keys and missing values are left out, as in a pandas group-by.
@@ -36,6 +40,25 @@ def group_quantiles(df, keys, value, probs, accuracy=ACCURACY):
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
     rows = df.select(*keys, _clean(value).alias("__v")).dropna()
+    if not keys or not direct_rows:
+        return _narrowed(rows, keys, probs, accuracy)
+    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
+    big = collect_bounded(sizes.filter(F.col("__n") > direct_rows))
+    if big == []:
+        return _direct(rows, keys, probs)
+    if big is None:
+        return _narrowed(rows, keys, probs, accuracy)
+    big = F.broadcast(df.sparkSession.createDataFrame(big, sizes.schema).drop("__n"))
+    large = _narrowed(rows.join(big, keys, "left_semi"), keys, probs, accuracy)
+    return large.unionByName(_direct(rows.join(big, keys, "left_anti"), keys, probs))
+
+
+def _direct(rows, keys, probs):
+    q = F.percentile("__v", F.lit(probs))
+    return rows.groupBy(*keys).agg(F.count("__v").alias("n"), q.alias("q"))
+
+
+def _narrowed(rows, keys, probs, accuracy):
     inner = sorted({p for p in probs if 0.0 < p < 1.0})
     width = MARGIN / accuracy
     low = [max(p - width, 0.0) for p in inner]
@@ -48,7 +71,7 @@ def group_quantiles(df, keys, value, probs, accuracy=ACCURACY):
 
     known = collect_bounded(brackets)
     if known is not None:
-        brackets = F.broadcast(df.sparkSession.createDataFrame(known, brackets.schema))
+        brackets = F.broadcast(rows.sparkSession.createDataFrame(known, brackets.schema))
     if keys:
         marked = rows.join(brackets, keys)
     else:
@@ -111,6 +134,6 @@ def long_form(df, columns, name="column", value="value"):
 
 def column_quantiles(df, columns, probs, accuracy=ACCURACY):
     """{column: [quantile, ...]} for all columns in one pass; NaN where a column is empty."""
-    found = group_quantiles(long_form(df, columns), ["column"], "value", probs, accuracy)
+    found = group_quantiles(long_form(df, columns), ["column"], "value", probs, accuracy, direct_rows=0)
     by_column = {row["column"]: list(row["q"]) for row in found.collect()}
     return {c: by_column.get(c, [math.nan] * len(probs)) for c in columns}

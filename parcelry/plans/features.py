@@ -8,6 +8,7 @@ from parcelry.operators.prep import MICEImputation, OneHotEncoding, Preprocessin
 from parcelry.operators.prep.encoders import collapse_rare
 from parcelry.operators.reshape import hash_unit, train_test_split
 from parcelry.schema import MEASURE_COLUMNS, ROOM_COLUMNS
+from parcelry.session import written
 
 # Outlier cut-offs and the smallest category kept.
 CAPS = {"floors": 0.995, "area_m2": 0.98, "bedrooms": 0.99, "bathrooms": 0.99}
@@ -60,7 +61,7 @@ def preprocessing():
 
 def train_and_test(df, test_size=0.2, seed=42, key="id"):
     """(train, test, fitted steps) from a listing table; the steps see the training part only."""
-    features = listing_features(df)
+    features = written(listing_features(df), "features")
     train, test = train_test_split(features, hash_unit(key, seed), test_size)
     steps = preprocessing().fit(train)
     finish = lambda part: steps.transform(part).drop("ward", "ward_province")

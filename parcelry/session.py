@@ -51,3 +51,14 @@ def shared_folder(spark):
 def fresh_path(spark, label):
     """A new, unused location below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/parcelry/{label}-{uuid.uuid4().hex}"
+
+
+def written(df, label):
+    """``df`` stored once in the shared folder and read back.
+
+    For a table that several statistics passes read: it cuts the lineage and
+    outlives lost executors.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

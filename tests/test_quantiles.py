@@ -9,8 +9,8 @@ from parcelry.operators.quantiles import column_quantiles, group_quantiles
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.9, 0.995, 1.0]
 
 
-@pytest.mark.parametrize("accuracy", [20, 200, 10_000])
-def test_matches_pandas_on_skewed_groups(spark, accuracy):
+@pytest.mark.parametrize("accuracy, direct_rows", [(20, 0), (200, 0), (10_000, 0), (200, 1000), (200, 100_000)])
+def test_matches_pandas_on_skewed_groups(spark, accuracy, direct_rows):
     rng = np.random.default_rng(3)
     n = 20_000
     # One key holds more than a third of all rows; values have heavy ties and long tails.
@@ -20,7 +20,7 @@ def test_matches_pandas_on_skewed_groups(spark, accuracy):
     pdf.loc[rng.random(n) < 0.05, "v"] = np.nan
     expected = pdf.groupby("k")["v"].quantile(PROBS).unstack()
     df = spark.createDataFrame(pdf).repartition(7)
-    rows = group_quantiles(df, "k", "v", PROBS, accuracy).collect()
+    rows = group_quantiles(df, "k", "v", PROBS, accuracy, direct_rows).collect()
     assert len(rows) == len(expected)
     for row in rows:
         assert np.allclose(row["q"], expected.loc[row["k"]].to_numpy(), rtol=1e-12)
