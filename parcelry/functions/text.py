@@ -34,12 +34,13 @@ def long_words(c):
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
 
 
+def neighbours(words):
+    """Structs (first, second) of the neighbouring pairs of words."""
+    words = _col(words)
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(words, F.lit(1), rest).alias("first"), F.slice(words, F.lit(2), rest).alias("second"))
+
+
 def bigrams(words):
     """Neighbouring word pairs, joined by a space."""
-    words = _col(words)
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.when(F.size(words) >= 2, pairs).otherwise(F.array().cast("array<string>"))
+    return F.transform(neighbours(words), lambda p: F.concat(p["first"], F.lit(" "), p["second"]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import cut
 from parcelry.operators.lookup import collect_bounded, lookup
-from parcelry.operators.quantiles import column_quantiles, group_median, group_quantiles, long_form
+from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_quantiles, long_form
 from parcelry.operators.reshape import column_rows
 from parcelry.schema import NON_MEASURES, numeric_columns
 
@@ -65,19 +65,15 @@ def count_by_month_start(df, year, month):
 def describe(df, columns=None):
     """One row per numeric column: count, mean, sample deviation, extremes and exact quartiles."""
     columns = columns or numeric_columns(df)
-    rows = long_form(df, columns)
-    moments = rows.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = group_quantiles(rows, "column", "value", [0.25, 0.5, 0.75], direct_rows=0).select(
+    value = {c: clean_double(F.col(f"`{c}`")) for c in columns}
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.agg(*[f(value[c]).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in measures.items()])
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in measures]) for i, c in enumerate(columns)]
+    moments = wide.select(F.inline(F.array(*cells)))
+    quartiles = group_quantiles(long_form(df, columns), "column", "value", [0.25, 0.5, 0.75], direct_rows=0).select(
         "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
     )
-    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return named.join(moments, "column", "left").join(quartiles, "column", "left").fillna(0, ["count"])
+    return moments.join(quartiles, "column", "left")
 
 
 def null_profile(df, name="missing"):

@@ -136,26 +136,26 @@ class MICEImputation(PreprocessingStrategy):
         """Rounds until no row moves by the threshold, measured by the sum of its cells' changes."""
         k = len(means)
         patterns = sorted(moments)
+        last = len(rounds) - 1
         pattern = sum((F.col(f"x{i}").isNull().cast("int") * F.lit(1 << i) for i in range(k)), F.lit(0))
         where = F.array_position(F.lit(patterns), pattern).cast("int") - 1
         z = [F.lit(1.0)] + [F.coalesce(F.col(f"x{i}") - F.lit(means[i]), F.lit(0.0)) for i in range(k)]
-        moved = []
-        for r in range(1, len(rounds)):
-            change = F.lit(0.0)
-            for j in range(1, k + 1):
-                shift = F.lit(0.0)
-                for i in range(k + 1):
-                    table = [float(rounds[r][p][j, i] - rounds[r - 1][p][j, i]) for p in patterns]
-                    if any(table):
-                        shift = shift + F.get(F.lit(table), F.col("w")) * F.col(f"z{i}")
-                change = change + F.abs(shift)
-            moved.append(F.max(change).alias(f"c{r}"))
-        incomplete = cells.filter(pattern > 0).select(where.alias("w"), *[c.alias(f"z{i}") for i, c in enumerate(z)])
-        row = incomplete.agg(*moved).first()
-        for r in range(1, len(rounds)):
-            if row[f"c{r}"] is None or row[f"c{r}"] < threshold:
+        incomplete = cells.filter(pattern > 0).select((where * F.lit(last)).alias("w"), *[c.alias(f"z{i}") for i, c in enumerate(z)])
+        # One row per round rather than one expression per round: the compiled code stays small.
+        turns = incomplete.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(last))))
+        change = F.lit(0.0)
+        for j in range(1, k + 1):
+            shift = F.lit(0.0)
+            for i in range(k + 1):
+                table = [float(rounds[r][p][j, i] - rounds[r - 1][p][j, i]) for p in patterns for r in range(1, last + 1)]
+                if any(table):
+                    shift = shift + F.get(F.lit(table), F.col("w") + F.col("round") - 1) * F.col(f"z{i}")
+            change = change + F.abs(shift)
+        moved = {row["round"]: row["change"] for row in turns.groupBy("round").agg(F.max(change).alias("change")).collect()}
+        for r in range(1, last + 1):
+            if moved.get(r, 0.0) < threshold:
                 return r
-        return len(rounds) - 1
+        return last
 
     def transform(self, df):
         self._require_fit()

@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 
 from parcelry.operators.prep.base import PreprocessingStrategy
 
-GRID = 33
+GRID = 17
 TOLERANCE = 1e-5
 
 
 def box_cox(x, power):
-    return F.log(x) if power == 0 else (F.pow(x, F.lit(float(power))) - 1) / F.lit(float(power))
+    return F.when(power == 0, F.log(x)).otherwise((F.pow(x, power) - 1) / F.nullif(power, F.lit(0.0)))
 
 
 def yeo_johnson(x, power):
-    up = F.log1p(x) if power == 0 else (F.pow(x + 1, F.lit(float(power))) - 1) / F.lit(float(power))
-    rest = 2.0 - power
-    down = -F.log1p(-x) if rest == 0 else -(F.pow(1 - x, F.lit(rest)) - 1) / F.lit(rest)
+    rest = F.lit(2.0) - power
+    up = F.when(power == 0, F.log1p(x)).otherwise((F.pow(x + 1, power) - 1) / F.nullif(power, F.lit(0.0)))
+    down = F.when(rest == 0, -F.log1p(-x)).otherwise(-(F.pow(1 - x, rest) - 1) / F.nullif(rest, F.lit(0.0)))
     return F.when(x >= 0, up).otherwise(down)
 
 
@@ -29,9 +29,13 @@ def best_power(values, bend, log_slope, n):
     """Maximise -n/2 log var(bend(x, p)) + (p - 1) log_slope over p."""
 
     def likelihoods(powers):
-        row = values.agg(*[F.var_pop(bend(F.col("x"), p)).alias(f"v{i}") for i, p in enumerate(powers)]).first()
+        # One row per exponent, combined on the map side, keeps the compiled code small.
+        spread = values.select("x", F.posexplode(F.lit(powers)).alias("i", "p"))
+        found = spread.groupBy("i").agg(F.var_pop(bend(F.col("x"), F.col("p"))).alias("v")).collect()
+        variance = {row["i"]: row["v"] for row in found}
         scores = []
-        for p, v in zip(powers, row):
+        for i, p in enumerate(powers):
+            v = variance.get(i)
             usable = v is not None and math.isfinite(v) and v > 0
             scores.append(-0.5 * n * math.log(v) + (p - 1) * log_slope if usable else -math.inf)
         return scores
@@ -70,14 +74,14 @@ class _PowerTransform(PreprocessingStrategy):
         if power is None:
             # A constant column has no likelihood peak; it keeps its values.
             power = 1.0 if stats["lo"] == stats["hi"] else best_power(values, self._bend, stats["slope"], stats["n"])
-        bent = values.agg(F.avg(self._bend(F.col("x"), power)).alias("m"), F.stddev_pop(self._bend(F.col("x"), power)).alias("s")).first()
+        bent = values.agg(F.avg(self._bend(F.col("x"), F.lit(float(power)))).alias("m"), F.stddev_pop(self._bend(F.col("x"), F.lit(float(power)))).alias("s")).first()
         self.state = {"power": power, "mean": bent["m"], "std": bent["s"] or 1.0}
         return self
 
     def transform(self, df):
         self._require_fit()
         c = self.params["column"]
-        bent = self._bend(F.col(c).cast("double"), self.state["power"])
+        bent = self._bend(F.col(c).cast("double"), F.lit(float(self.state["power"])))
         return df.withColumn(c, (bent - F.lit(self.state["mean"])) / F.lit(self.state["std"]))
 
 

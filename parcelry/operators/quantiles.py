@@ -24,7 +24,7 @@ DIRECT_ROWS = 50_000
 MARGIN = 3.0
 
 
-def _clean(column):
+def clean_double(column):
     value = F.col(column) if isinstance(column, str) else column
     value = value.cast("double")
     return F.when(~F.isnan(value), value)
@@ -39,7 +39,7 @@ def group_quantiles(df, keys, value, probs, accuracy=ACCURACY, direct_rows=DIREC
     probs = [float(p) for p in probs]
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
-    rows = df.select(*keys, _clean(value).alias("__v")).dropna()
+    rows = df.select(*keys, clean_double(value).alias("__v")).dropna()
     if not keys or not direct_rows:
         return _narrowed(rows, keys, probs, accuracy)
     sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
@@ -128,8 +128,8 @@ def group_median(df, keys, value, name="median"):
 
 def long_form(df, columns, name="column", value="value"):
     """One row per (column, value), all values as doubles, missing ones left out."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(name), _clean(F.col(f"`{c}`")).alias(value)) for c in columns])
-    return df.select(F.inline(pairs)).filter(F.col(value).isNotNull())
+    cells = df.select(*[clean_double(F.col(f"`{c}`")).alias(c) for c in columns])
+    return cells.unpivot([], [F.col(f"`{c}`") for c in columns], name, value).filter(F.col(value).isNotNull())
 
 
 def column_quantiles(df, columns, probs, accuracy=ACCURACY):

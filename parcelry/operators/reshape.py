@@ -73,6 +73,6 @@ def bootstrap_weights(df, keys, replicates, seed=42, name="replicate", weight="w
     Meant to feed an aggregation by replicate directly, which combines on the
     map side, so the expanded rows are never shuffled.
     """
-    expanded = df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    unit = F.pmod(F.xxhash64(*_keys(keys), name, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return expanded.withColumn(weight, poisson_one(unit)).filter(F.col(weight) > 0)
+    expanded = df.withColumn("__h", F.xxhash64(*_keys(keys), F.lit(seed))).withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    unit = F.pmod(F.xxhash64("__h", name), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return expanded.withColumn(weight, poisson_one(unit)).filter(F.col(weight) > 0).drop("__h")
