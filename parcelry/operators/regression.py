@@ -38,7 +38,7 @@ class _Penalised:
     """Linear fit with the penalty stated on the scale of the original target."""
 
     def fit(self, df, label, features=FEATURES):
-        stats = df.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("sd")).first()
+        stats = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("sd")).first()
         strength, mix = self.penalty(stats["n"], stats["sd"] or 1.0)
         estimator = LinearRegression(
             featuresCol=features, labelCol=label, standardization=False, regParam=strength, elasticNetParam=mix,

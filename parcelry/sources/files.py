@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F, types as T
 
+from parcelry.operators.lookup import collect_bounded
 from parcelry.schema import LISTING
 
 FORMATS = ("csv", "json", "parquet")
@@ -23,8 +24,9 @@ def load_rental_properties(spark, path):
 def read_jsonl(spark, path, schema=LISTING):
     """One record per line; lines that are not valid JSON are skipped."""
     marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return rows.filter(F.col("_bad").isNull()).drop("_bad")
+    record = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = spark.read.text(path).filter(F.trim("value") != "").select(record.alias("r"))
+    return rows.filter(F.col("r._bad").isNull()).select("r.*").drop("_bad")
 
 
 def seen_ids(records):
@@ -75,5 +77,8 @@ def read_label_map(spark, path, label_type="string"):
 
 
 def read_stop_words(spark, path):
-    """Non-empty lines of a word list; the list is a parameter of the text operators."""
-    return [r[0] for r in spark.read.text(path).select(F.trim("value").alias("w")).filter("w != ''").distinct().collect()]
+    """Non-empty lines of a word list; the list is a parameter of the text operators and must be small."""
+    rows = collect_bounded(spark.read.text(path).select(F.trim("value").alias("w")).filter("w != ''").distinct())
+    if rows is None:
+        raise ValueError(f"{path} is too big for a word list")
+    return [r[0] for r in rows]
