@@ -6,6 +6,8 @@ summed. A bigger one is joined by shuffle, with the hot keys spread over salts.
 
 from pyspark.sql import functions as F
 
+from parcelry.session import written
+
 MAX_ROWS = 50_000
 MAX_BYTES = 32 * 1024 * 1024
 SALTS = 16
@@ -23,6 +25,14 @@ def collect_bounded(table, max_rows=MAX_ROWS, max_bytes=MAX_BYTES):
     return rows if size <= max_bytes else None
 
 
+def settle(table, label, max_rows=MAX_ROWS):
+    """``table`` computed once: as local rows if it is small, else written to the shared folder."""
+    rows = collect_bounded(table, max_rows)
+    if rows is None:
+        return written(table, label)
+    return table.sparkSession.createDataFrame(rows, table.schema)
+
+
 def lookup(df, table, on, how="left", max_rows=MAX_ROWS, salts=SALTS):
     """Join ``df`` with ``table``, which must be unique on ``on``.
 

@@ -2,26 +2,30 @@
 
 from pyspark.sql import Window, functions as F, types as T
 
-from parcelry.operators.lookup import MAX_ROWS, collect_bounded, lookup
+from parcelry.operators.lookup import MAX_ROWS, collect_bounded, lookup, settle
 from parcelry.operators.prep.base import PreprocessingStrategy, as_list
-from parcelry.session import shared_folder
+from parcelry.session import shared_folder, written
 
 
 def sorted_codes(values, column, name="code", max_rows=MAX_ROWS):
     """Rows of the distinct ``values`` with their rank 0..k-1 in sort order.
 
-    A small set is numbered by one window. A big one is range-partitioned and
+    A small set is sorted as local rows. A big one is range-partitioned and
     saved, so that the ranks within a partition and the partition offsets refer
     to the same partitions.
     """
-    if collect_bounded(values, max_rows) is not None:
-        return values.select(column, (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint").alias(name))
+    rows = collect_bounded(values.select(column), max_rows)
+    if rows is not None:
+        kind = values.schema[column].dataType.simpleString()
+        numbered = [(v, i) for i, v in enumerate(sorted(r[0] for r in rows))]
+        return values.sparkSession.createDataFrame(numbered, f"`{column}` {kind}, `{name}` bigint")
     shared_folder(values.sparkSession)
     parts = values.repartitionByRange(column).select(column, F.spark_partition_id().alias("__p")).checkpoint()
     sizes = parts.groupBy("__p").count()
+    # One row per partition, so this window stays small.
     offsets = sizes.select("__p", (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__o"))
     within = parts.withColumn(name, F.row_number().over(Window.partitionBy("__p").orderBy(column)) - 1)
-    return within.join(offsets, "__p").select(column, (F.col(name) + F.col("__o")).cast("bigint").alias(name))
+    return written(within.join(offsets, "__p").select(column, (F.col(name) + F.col("__o")).cast("bigint").alias(name)), "codes")
 
 
 class LabelEncoding(PreprocessingStrategy):
@@ -141,7 +145,8 @@ class TargetEncoding(PreprocessingStrategy):
             share = F.when(n == 1, 0.0).otherwise(share)
         for c in p["columns"]:
             stats = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(target).alias("__n"), F.avg(target).alias("__m"))
-            self.tables[c] = stats.select(F.col(c).alias("category"), (F.lit(prior) * (1 - share) + F.col("__m") * share).alias("encoded"))
+            encoded = F.lit(prior) * (1 - share) + F.col("__m") * share
+            self.tables[c] = settle(stats.select(F.col(c).alias("category"), encoded.alias("encoded")), f"target-{c}")
         return self
 
     def transform(self, df):

@@ -31,7 +31,7 @@ class LeastSquares:
     """Ordinary least squares."""
 
     def fit(self, df, label, features=FEATURES):
-        return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0).fit(df)
+        return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0).fit(df)
 
 
 class _Penalised:
@@ -41,8 +41,7 @@ class _Penalised:
         stats = df.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("sd")).first()
         strength, mix = self.penalty(stats["n"], stats["sd"] or 1.0)
         estimator = LinearRegression(
-            featuresCol=features, labelCol=label, standardization=False, regParam=strength, elasticNetParam=mix,
-            solver="normal" if mix == 0 else "auto", maxIter=500, tol=1e-10,
+            featuresCol=features, labelCol=label, standardization=False, regParam=strength, elasticNetParam=mix, maxIter=500, tol=1e-10
         )
         return estimator.fit(df)
 
@@ -184,7 +183,8 @@ def spread(scores, metric="rmse"):
 def product_sums(df, features, label, by=(), weight=None):
     """{group: matrix of sums of products of (1, features, label)}, one aggregation.
 
-    The groups are folds or replicates: a parameter of the caller, not data.
+    The groups are folds or replicates: a parameter of the caller, not data. One
+    sum per pair of columns suits a few dozen features; wide vectors go to MLlib.
     """
     z = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label).cast("double")]
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")

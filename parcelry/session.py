@@ -9,13 +9,15 @@ from pyspark.sql import SparkSession
 def build_session(app="parcelry", master=None, **conf):
     """A session with the settings every operator is written for.
 
-    Partition counts are left to adaptive execution: the initial number is
-    high enough for a large shuffle, and small shuffles are coalesced.
+    Partition counts are left to adaptive execution: on a cluster the initial
+    number suits a shuffle of terabytes, and smaller ones are coalesced.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    sizes = {} if (master or "").startswith("local") else {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
     settings = {
+        **sizes,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",

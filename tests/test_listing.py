@@ -68,6 +68,17 @@ def test_unseen_keeps_each_new_id_once(spark):
     assert [r[0] for r in extraction.unseen(rows, seen).collect()] == ["2"]
 
 
+def test_new_listings_take_floors_from_their_detail_page(spark):
+    card = CARD.replace("3 tầng", "đẹp")
+    html = f'<div class="gap-24 d-flex flex-column card-container">{card}{card.replace("77", "78")}{CARD.replace("77", "79")}</div>'
+    pages = spark.createDataFrame([("u", html), ("v", html)], "url string, html string")
+    detail = '<div class="x col-md-12 text"><p>Cao <b>6</b> tầng</p></div>'
+    details = spark.createDataFrame([("https://h.example/a?x=1&y=2", detail)], "url string, html string")
+    seen = spark.createDataFrame([("78",)], "id string")
+    rows = extraction.new_listings(pages, details, seen, "https://h.example").collect()
+    assert sorted((r["id"], r["floors"]) for r in rows) == [("77", 6), ("79", 4)]
+
+
 def test_merged_provinces(spark):
     df = spark.createDataFrame([(" hà GIANG ",), ("Bình Dương",), ("Paris",), (None,)], "province string")
     assert [r[0] for r in merged_province(df).select("province_after_merger").collect()] == ["Tuyên Quang", "Hồ Chí Minh", "Other", "Other"]
