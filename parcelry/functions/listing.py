@@ -48,18 +48,28 @@ def _decode(text):
     return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), NAMED_ENTITIES.items(), text)
 
 
-def _trimmed(text):
-    return non_empty(strip(text))
+def _text(markup, separator):
+    """Text pieces, each trimmed, around the separator; NULL when empty.
+
+    The mark-up is bound to a lambda variable, so that testing for tags and
+    entities before the costly replacements does not compute it again.
+    """
+
+    def read(m):
+        bare = F.when(m.contains("<"), F.regexp_replace(m, _TAGS, separator)).otherwise(m)
+        return strip(F.when(m.contains("&"), _decode(bare)).otherwise(bare))
+
+    return F.get(F.filter(F.transform(F.array(_col(markup)), read), lambda t: t != ""), F.lit(0))
 
 
 def joined_text(markup):
     """Text pieces, each trimmed, put together without a separator; NULL when empty."""
-    return _trimmed(_decode(F.regexp_replace(_col(markup), _TAGS, "")))
+    return _text(markup, "")
 
 
 def spaced_text(markup):
     """Text pieces, each trimmed, put together with one space; NULL when empty."""
-    return _trimmed(_decode(F.regexp_replace(_col(markup), _TAGS, " ")))
+    return _text(markup, " ")
 
 
 def element_pattern(tag, css_class=None):

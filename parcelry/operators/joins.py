@@ -81,9 +81,9 @@ def renaming_table(spark, groups):
 
 def translate(df, column, table, name, default="Other"):
     """Look ``column`` up in an (old, new) table, ignoring case and outer spaces."""
-    key = F.lower(strip(column))
-    joined = lookup(df.withColumn("old", key), table, "old", "left")
-    return joined.withColumn(name, F.coalesce(F.col("new"), F.lit(default))).drop("old", "new")
+    names = table.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+    joined = lookup(df.withColumn("__old", F.lower(strip(column))), names, "__old", "left")
+    return joined.withColumn(name, F.coalesce(F.col("__new"), F.lit(default))).drop("__old", "__new")
 
 
 def merged_province(df, column="province", name="province_after_merger"):

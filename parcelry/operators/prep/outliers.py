@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from parcelry.operators.prep.base import PreprocessingStrategy, as_list
-from parcelry.operators.quantiles import column_quantiles
+from parcelry.operators.quantiles import clean_double, column_quantiles
 
 
 class IQRMethod(PreprocessingStrategy):
@@ -38,8 +38,8 @@ class ZScoreMethod(PreprocessingStrategy):
         self._check(df)
         columns = self.params["columns"]
         stats = df.agg(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
+            *[F.avg(clean_double(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+            *[F.stddev_samp(clean_double(c)).alias(f"s{i}") for i, c in enumerate(columns)],
         ).first()
         self.state = {c: {"mean": stats[f"m{i}"], "std": stats[f"s{i}"]} for i, c in enumerate(columns)}
         return self

@@ -19,7 +19,7 @@ from parcelry.operators.lookup import collect_bounded
 
 ACCURACY = 10_000
 # Groups of at most this many rows are small enough for the map ``percentile`` keeps.
-DIRECT_ROWS = 50_000
+DIRECT_ROWS = 5_000
 # Half-width of a bracket, in units of the sketch's guaranteed rank error.
 MARGIN = 3.0
 

@@ -2,15 +2,22 @@
 
 from pyspark.sql import functions as F, types as T
 
+from parcelry.functions.scalar import nan_to_null
 from parcelry.operators.lookup import collect_bounded
 from parcelry.schema import LISTING
 
 FORMATS = ("csv", "json", "parquet")
 
 
+def without_nan(df):
+    """NaN as NULL: Spark sorts NaN above every number, while here it means a missing cell."""
+    kinds = (T.DoubleType, T.FloatType)
+    return df.withColumns({f.name: nan_to_null(f.name) for f in df.schema.fields if isinstance(f.dataType, kinds)})
+
+
 def read_listings_csv(spark, path, schema=LISTING):
     """Listing table with a header; the schema is given, never inferred."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", False).option("escape", '"').csv(path)
+    return without_nan(spark.read.schema(schema).option("header", True).option("escape", '"').csv(path))
 
 
 def load_buying_properties(spark, path):
@@ -26,7 +33,7 @@ def read_jsonl(spark, path, schema=LISTING):
     marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     record = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     rows = spark.read.text(path).filter(F.trim("value") != "").select(record.alias("r"))
-    return rows.filter(F.col("r._bad").isNull()).select("r.*").drop("_bad")
+    return without_nan(rows.filter(F.col("r._bad").isNull()).select("r.*").drop("_bad"))
 
 
 def seen_ids(records):

@@ -85,3 +85,16 @@ def test_label_map_round_trip(spark, tmp_path):
     labels = spark.createDataFrame([(1, "Quận 12 | Hồ Chí Minh")], "k int, v string")
     path = files.write_label_map(labels, str(tmp_path / "map"))
     assert tuple(files.read_label_map(spark, path).first()) == ("1", "Quận 12 | Hồ Chí Minh")
+
+
+def test_csv_takes_nan_as_missing(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("id,detail_url,title,location,timeline_hours,area_m2,bedrooms,bathrooms,floors,frontage,price_million_vnd\n007,,,,,60,,,,true,NaN\n")
+    row = files.load_rental_properties(spark, str(tmp_path / "l.csv")).first()
+    assert (row["id"], row["area_m2"], row["frontage"], row["price_million_vnd"], row["title"]) == ("007", 60, True, None, None)
+
+
+def test_zscore_statistics_ignore_nan(spark):
+    from parcelry.operators.prep import ZScoreMethod
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),)], "v double")
+    assert sorted(r[0] for r in ZScoreMethod("v").fit_transform(df).collect()) == [1.0, 2.0, 3.0]
