@@ -7,7 +7,7 @@ from parcelry.operators.quantiles import group_median
 from parcelry.plans import views
 
 
-def located(spark, folder, *columns):
+def located(spark, folder):
     """Listings with ward, province and unit price."""
     rows = homes(spark, folder)
     ward, province = S.ward_and_province("location")

@@ -34,7 +34,7 @@ def places(spark, folder):
     return joined.select("s_suppkey", "n_name", "r_name")
 
 
-def title_of(lineitem_row=None):
+def title_of():
     n, kind = F.col("l_linenumber").cast("string"), F.col("l_orderkey") % 5
     return (
         F.when(kind == 0, F.concat(F.lit("Bán nhà "), n, F.lit(" tầng mặt tiền")))

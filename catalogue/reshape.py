@@ -74,3 +74,9 @@ def w9(spark, folder):
         "l_orderkey", "l_partkey", F.col("l_linenumber").cast("double").alias("a"), (F.col("l_quantity") / 8).alias("b"), (F.col("l_discount") * 60).alias("c")
     )
     return rows.select("l_orderkey", "l_partkey", largest_column(["a", "b", "c"]).alias("largest"))
+
+
+@register("w4_sample_by_id", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {UNIT} / 32768 < 0.05")
+def w4_by_id(spark, folder):
+    """The sample by plain arithmetic on whole-number ids."""
+    return table(spark, folder, "orders").select("o_orderkey", "o_totalprice").filter(R.id_unit("o_orderkey") < 0.05)
