@@ -24,7 +24,7 @@ from parcelry.llm.common import ready, texts
 #: Fixed value: how the byte-level vocabularies split a text before the merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 NEVER = 1 << 60
-CACHED_WORDS = 350_000
+CACHED_WORDS = 150_000
 CACHED_ARCS = 1_000_000
 
 
