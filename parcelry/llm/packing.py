@@ -3,7 +3,7 @@
 The lengths of all pieces are counted; the histogram has at most ``capacity`` entries, whatever the input.  On it a
 configuration program is solved: which fillings of a sequence, and how often each.  Multiplicative weights hold a price
 for each length, lower the more of its pieces are placed; the best filling at these prices is found by a knapsack dynamic
-programme over the capacity, and used for a share of the pieces.  The fractional counts are rounded down, and the few
+programme over the capacity, and used for a share of the pieces.  The fractional counts are rounded down, and the
 pieces left over are placed best fit first.  The plan that results names, for each length, which ranks go to which
 sequence; pieces get their rank from counts per task, so no task or driver ever holds the pieces.
 """
@@ -90,36 +90,48 @@ def fillings(counts, capacity, eta=2.0, share=0.5, rounds=1200):
 
 
 def best_fit(counts, capacity):
-    """Fillings for a few pieces: the longest first, each into the fullest sequence that has room for it."""
+    """Fillings and how often each, the longest pieces first, each into the fullest sequence that has room for it.
+
+    Sequences filled alike are kept as one entry, so the work depends on the number of lengths, not of pieces.
+    """
     rooms, held = [], []
-    for length in sorted(counts, reverse=True):
-        for _ in range(counts[length]):
-            k = bisect.bisect_left(rooms, (length, -1))
-            if k < len(rooms):
-                room, at = rooms.pop(k)
-            else:
-                room, at = capacity, len(held)
-                held.append(Counter())
-            held[at][length] += 1
-            if room > length:
-                bisect.insort(rooms, (room - length, at))
-    return held
-
-
-def plan(counts, capacity):
+
+    def keep(room, filling, times):
+        bisect.insort(rooms, (room, len(held)))
+        held.append([filling, times])
+
+    for x in sorted(counts, reverse=True):
+        left = counts[x]
+        while left:
+            k = bisect.bisect_left(rooms, (x, -1))
+            room, at = rooms[k] if k < len(rooms) else (capacity, None)
+            filling, times = held[at] if at is not None else ({}, left)
+            copies = min(room // x, left)
+            taken = min(times, left // copies)
+            if at is not None:
+                held[at][1] -= taken
+                if not held[at][1]:
+                    rooms.pop(k)
+            keep(room - copies * x, {**filling, x: copies}, taken)
+            left -= copies * taken
+    return [(filling, times) for filling, times in held if times]
+
+
+def plan(counts, capacity, slack=1):
     """Which ranks of each length go where: rows of (length, first rank, first sequence, copies in a sequence, offset).
 
-    ``counts`` maps each length to its number of pieces. Pieces that fill a sequence need no filling.
+    ``counts`` maps each length to its number of pieces. Pieces that fill a sequence need no filling.  Of the rounded
+    fillings, those stay that leave at most ``slack`` tokens free; what the others would hold is placed best fit.
     """
     rest = Counter({x: n for x, n in counts.items() if x < capacity})
     steps = []
     for filling, times in fillings(rest, capacity).items() if rest else ():
         whole = min([int(times + 1e-6), *(rest[x] // n for x, n in filling)])
-        if whole:
+        if whole and sum(x * n for x, n in filling) >= capacity - slack:
             steps.append((dict(filling), whole))
             for x, n in filling:
                 rest[x] -= n * whole
-    steps += [(dict(x), 1) for x in best_fit({x: n for x, n in rest.items() if n}, capacity)]
+    steps += best_fit({x: n for x, n in rest.items() if n}, capacity)
     rows, ranks, sequence = [], Counter(), 0
     if counts.get(capacity):
         rows.append((capacity, 0, 0, 1, 0))

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe
+from parcelry.llm import bpe, packing
 from parcelry.llm.common import table
 
 QUERIES = {}
@@ -35,3 +35,9 @@ def op1_bpe(spark, folder):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register("op2_packing")
+def op2_packing(spark, folder):
+    """Every document's pieces and their places in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, folder, "documents"), bpe.shared_automaton(spark, tokenizer()), capacity=1024, end=2)
