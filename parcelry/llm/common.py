@@ -54,16 +54,10 @@ def unique_join(rows, keyed, key, columns, heavy=HEAVY):
     """Left join of ``rows`` with ``keyed``, which has one row per key and the number of rows it meets as ``n_rows``.
 
     Keys that meet at least the fraction ``heavy`` of all rows are broadcast: there are at most 1 / heavy of them.
-    The rest is joined by shuffle, where no key holds more than that fraction. ``keyed`` must be a stored table.
+    The rest is joined by shuffle, where no key holds more than that fraction. Both must be stored tables.
     """
     total = keyed.agg(F.sum("n_rows")).first()[0] or 0
     is_heavy = F.col("n_rows") >= F.lit(max(1.0, total * heavy))
-    hot = keyed.where(is_heavy).select(key, F.struct(*columns).alias("__hot"))
-    cold = keyed.where(~is_heavy).select(F.col(key).alias("__key"), F.struct(*columns).alias("__cold"))
-    met = rows.join(F.broadcast(hot), key, "left")
-    # a row that met a heavy key needs no partner, so it goes to a place of its own
-    met = met.withColumn("__probe", F.when(F.col("__hot").isNull(), F.col(key))).withColumn("__spread", F.when(F.col("__hot").isNotNull(), F.xxhash64(*rows.columns)))
-    cold = cold.withColumn("__none", F.lit(None).cast("long"))
-    joined = met.join(cold, (F.col("__probe") == F.col("__key")) & F.col("__spread").eqNullSafe(F.col("__none")), "left")
-    found = F.coalesce("__hot", "__cold")
-    return joined.select(*rows.columns, *[found[c].alias(c) for c in columns])
+    hot = F.broadcast(keyed.where(is_heavy).select(key, *columns))
+    cold = keyed.where(~is_heavy).select(key, *columns)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key, "left"))

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, packing
+from parcelry.llm import bpe, packing, repeats, simhash
 from parcelry.llm.common import table
 
 QUERIES = {}
@@ -41,3 +41,17 @@ def op1_bpe(spark, folder):
 def op2_packing(spark, folder):
     """Every document's pieces and their places in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, folder, "documents"), bpe.shared_automaton(spark, tokenizer()), capacity=1024, end=2)
+
+
+@register("op9_simhash")
+def op9_simhash(spark, folder):
+    """Every document's fingerprint and the smallest document it is linked with."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words=3, distance=3, seed=42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op7_repeats")
+def op7_repeats(spark, folder):
+    """Every document without the passages of 50 bytes or more that a document with a smaller id also has."""
+    cut = repeats.cut_out(repeats.find_repeats(table(spark, folder, "documents"), depth=50))
+    return cut.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
