@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, packing, repeats, simhash
-from parcelry.llm.common import table
+from parcelry.llm import bpe, language, packing, quality, repeats, simhash
+from parcelry.llm.common import remainder, table
 
 QUERIES = {}
 CHECKS = {}
@@ -55,3 +55,19 @@ def op7_repeats(spark, folder):
     """Every document without the passages of 50 bytes or more that a document with a smaller id also has."""
     cut = repeats.cut_out(repeats.find_repeats(table(spark, folder, "documents"), depth=50))
     return cut.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_quality")
+def op4_quality(spark, folder):
+    """Every document's quality score and the decision at 0.3."""
+    docs = table(spark, folder, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, folder, "labels"), holdout=5))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@register("op5_language")
+def op5_language(spark, folder):
+    """Every document's language, learned from the others' labels."""
+    docs = table(spark, folder, "documents")
+    found = language.predict(docs, language.train(docs, holdout=5))
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")

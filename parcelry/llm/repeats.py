@@ -18,41 +18,15 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from parcelry.llm.common import blocks_for, ready
+from parcelry.llm.hashing import Powers, mixed
 
 KEY = 24
 BLOCK_BYTES = 12 << 20
 CHUNK_BYTES = 1 << 19
 LAST = (1 << 63) - 1
-BASE = 0x9E3779B97F4A7C15
 LOW48 = np.uint64((1 << 48) - 1)
 
 
-def mixed(x):
-    """A bijection of 64-bit integers that spreads every bit."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-class Powers:
-    """Powers of the hash's base and of its inverse, as many as needed."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def reach(cls, n):
-        if len(cls.up) <= n:
-            size = max(n + 1, CHUNK_BYTES + 1)
-            step = np.full(size, np.uint64(BASE))
-            step[0] = 1
-            back = np.full(size, np.uint64(pow(BASE, -1, 1 << 64)))
-            back[0] = 1
-            cls.up, cls.down = np.cumprod(step), np.cumprod(back)
-
-
 class Chunk:
     """Some whole documents side by side, with the marks of their windows."""
 
