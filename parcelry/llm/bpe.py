@@ -36,18 +36,18 @@ def byte_alphabet():
 
 
 class Recent(dict):
-    """What ``make`` gives for a key, kept for the keys met lately: at most two generations of CACHED_WORDS."""
+    """What ``make`` gives for a key, kept for the keys met lately: at most two generations of ``size``."""
 
-    def __init__(self, make):
+    def __init__(self, make, size=CACHED_WORDS):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.size, self.older = make, size, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= 64:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.size:
                 self.older = dict(self)
                 self.clear()
             self[key] = value

@@ -23,7 +23,7 @@ from parcelry.llm.common import settled, texts
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
 
-def pieces(docs, automaton, capacity=1024, end=2):
+def pieces(docs, encoder, capacity=1024, end=2):
     """Each document's ids followed by ``end``, cut into pieces of ``capacity`` from the back, so that only the first may be shorter.
 
     A missing or empty text is the one id ``end``; repeated rows are separate documents.  ``part`` and ``place`` tell the
@@ -34,9 +34,9 @@ def pieces(docs, automaton, capacity=1024, end=2):
     def run(batches):
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            encoder, rows = automaton.value, []
+            encode, rows = encoder.value.encode, []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.encode(text) + tail
+                ids = encode(text) + tail
                 n = len(ids) // 4
                 starts = [0, *range(n % capacity or capacity, n, capacity)]
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
@@ -146,13 +146,13 @@ def plan(counts, capacity, slack=1):
     return sorted(rows)
 
 
-def pack(docs, automaton, capacity=1024, end=2):
+def pack(docs, encoder, capacity=1024, end=2):
     """``pieces`` with ``sequence_id`` and ``offset``: in each sequence, offsets run from 0 without gaps, up to ``capacity``.
 
     An empty table gives an empty table.  The plan sent to the tasks has a few rows per length; its size is bounded by the
     capacity, not by the data.
     """
-    cut = settled(pieces(docs, automaton, capacity, end), "pieces")
+    cut = settled(pieces(docs, encoder, capacity, end), "pieces")
     tally = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, packing, quality, repeats, simhash
+from parcelry.llm import bpe, language, packing, quality, ranked, repeats, simhash
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -40,7 +40,8 @@ def op1_bpe(spark, folder):
 @register("op2_packing")
 def op2_packing(spark, folder):
     """Every document's pieces and their places in sequences of at most 1024 tokens."""
-    return packing.pack(table(spark, folder, "documents"), bpe.shared_automaton(spark, tokenizer()), capacity=1024, end=2)
+    encoder = ranked.shared_encoder(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), tokenizer())
+    return packing.pack(table(spark, folder, "documents"), encoder, capacity=1024, end=2)
 
 
 @register("op9_simhash")
