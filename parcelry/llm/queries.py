@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, packing, quality, ranked, repeats, simhash
+from parcelry.llm import bpe, language, packing, quality, ranked, repeats, rules, simhash
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -72,3 +72,11 @@ def op5_language(spark, folder):
     docs = table(spark, folder, "documents")
     found = language.predict(docs, language.train(docs, holdout=5))
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@register("op8_rules")
+def op8_rules(spark, folder):
+    """Every document's base counts and the verdict of the rules."""
+    docs = table(spark, folder, "documents")
+    judged = rules.judge(docs, rules.trusted_ids(table(spark, folder, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
