@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, packing, quality, ranked, repeats, rules, simhash
+from parcelry.llm import bpe, language, neighbours, packing, quality, ranked, repeats, rules, simhash
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -80,3 +80,10 @@ def op8_rules(spark, folder):
     docs = table(spark, folder, "documents")
     judged = rules.judge(docs, rules.trusted_ids(table(spark, folder, "labels")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
+@register("op10_neighbours")
+def op10_neighbours(spark, folder):
+    """The 20 nearest vectors of each vector whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
