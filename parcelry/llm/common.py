@@ -12,8 +12,15 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 HEAVY = 1 / 4096
 
 
+#: Rows and bytes of a batch that goes to a Python worker: whole texts are long, and several workers share an executor's memory.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
 def ready(spark):
-    """Let Python workers import this package, and point checkpoints at the shared folder."""
+    """Let Python workers import this package, keep their batches small, and point checkpoints at the shared folder."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     path = context.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
