@@ -7,6 +7,7 @@ product per document and needs no shuffle.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -97,18 +98,23 @@ def train(docs, labels, holdout=5, sample=SAMPLE, slots=SLOTS):
     return sum((np.frombuffer(r["weights"], "<f4") * (r["n"] / total) for r in parts), np.zeros(slots + 1)).astype(np.float32)
 
 
-def score(docs, weights):
-    """``doc_id`` and ``score`` (0 to 1) of each document's whole text; missing and empty texts get the score of no feature."""
+def with_score(docs, weights):
+    """``docs`` with ``score`` (0 to 1) of each row's whole ``text``; missing and empty texts get the score of no feature."""
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(weights)
     slots = len(weights) - 1
 
-    def run(batches):
-        for batch in batches:
-            w, data, out = shared.value, batch.column(1).to_pylist(), []
-            for s in in_chunks(data):
-                for slot, value in each(*features(data[s], slots)):
-                    out.append(float(w[slots]) * 0.3 + float(np.dot(w[slot], value)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.array(out, float))))], names=["doc_id", "score"])
+    @F.pandas_udf("double")
+    def scores(text: pd.Series) -> pd.Series:
+        w, data, out = shared.value, [x or b"" for x in text], []
+        for s in in_chunks(data):
+            for slot, value in each(*features(data[s], slots)):
+                out.append(float(w[slots]) * 0.3 + float(np.dot(w[slot], value)))
+        return pd.Series(1 / (1 + np.exp(-np.array(out, float))))
+
+    return docs.withColumn("score", scores(F.col("text").cast("binary")))
 
-    return texts(docs).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, score double")
+
+def score(docs, weights):
+    """``doc_id`` and ``score`` of each document."""
+    return with_score(docs.select("doc_id", "text"), weights).select("doc_id", "score")

@@ -87,3 +87,11 @@ def op10_neighbours(spark, folder):
     """The 20 nearest vectors of each vector whose id is divisible by 20."""
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@register("pipeline")
+def pipeline(spark, folder):
+    """The stages of ``corpus_pipeline`` over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

@@ -14,6 +14,7 @@ Hashes have 64 bits for windows and 96 for classes.  Nothing is sampled and no g
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -246,14 +247,15 @@ def spread(chunk, chosen):
 RESULT = "doc_id long, text binary, spans array<struct<start:long,stop:long>>"
 
 
-def find_repeats(docs, depth=50):
+def find_repeats(docs, depth=50, carry=()):
     """``doc_id``, ``text`` (bytes) and ``spans``: the maximal byte runs covered by strings of ``depth`` bytes that a document with a smaller id also has.
 
     A missing text is the empty one; a document without an id comes after all others; rows with the same id don't make
-    each other repeated; texts shorter than ``depth`` have no spans; an empty table gives an empty table.
+    each other repeated; texts shorter than ``depth`` have no spans; an empty table gives an empty table.  Columns named in
+    ``carry`` are passed on, others are not looked at.
     """
     spark = ready(docs.sparkSession)
-    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("owner"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("owner"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), *carry)
     n = blocks_for(rows, BLOCK_BYTES, "data", least=64)
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("owner", "data"), F.lit(n)).cast("int")).repartition(n, "block")
 
@@ -302,29 +304,39 @@ def find_repeats(docs, depth=50):
                         edge = np.flatnonzero(np.diff(np.r_[False, covered[a:b], False].astype(np.int8)))
                         spans[k] = [{"start": x, "stop": y} for x, y in edge.reshape(-1, 2).tolist()]
         return pa.Table.from_arrays(
-            [pa.array([None if x == LAST else x for x in ids.tolist()], pa.int64()), table.column("data").cast(pa.binary()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-            names=["doc_id", "text", "spans"],
+            [pa.array([None if x == LAST else x for x in ids.tolist()], pa.int64()), table.column("data").cast(pa.binary()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), *(table.column(c) for c in carry)],
+            names=["doc_id", "text", "spans", *carry],
         )
 
     by_block = blocks.groupBy("block")
     first = by_block.applyInArrow(ask, REQUEST).groupBy("bucket").applyInArrow(settle_classes, REPLY)
     second = by_block.cogroup(first.groupBy("block")).applyInArrow(ask_windows, REQUEST).groupBy("bucket").applyInArrow(settle_windows, REPLY)
-    return by_block.cogroup(first.union(second).groupBy("block")).applyInArrow(finish, RESULT)
+    return by_block.cogroup(first.union(second).groupBy("block")).applyInArrow(finish, ", ".join([RESULT, *(f"{c} {dict(docs.dtypes)[c]}" for c in carry)]))
 
 
-def cut_out(found):
+def cut_out(found, carry=()):
     """``doc_id``, ``kept`` (the bytes outside the spans) and counts of what ``find_repeats`` found."""
 
-    def run(batches):
-        for batch in batches:
-            kept, removed = [], []
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                at, parts = 0, []
-                for s in spans:
-                    parts.append(text[at : s["start"]])
-                    at = s["stop"]
-                kept.append(b"".join([*parts, text[at:]]))
-                removed.append(len(text) - len(kept[-1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array([len(s) for s in batch.column(2).to_pylist()], pa.int64())], names=["doc_id", "kept", "n_removed", "n_spans"])
-
-    return found.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, kept binary, n_removed long, n_spans long")
+    @F.pandas_udf("binary")
+    def outside(text: pd.Series, spans: pd.Series) -> pd.Series:
+        kept = []
+        for data, cuts in zip(text, spans):
+            at, parts = 0, []
+            for s in cuts:
+                parts.append(data[at : s["start"]])
+                at = s["stop"]
+            kept.append(b"".join([*parts, data[at:]]))
+        return pd.Series(kept)
+
+    cut = found.select("doc_id", outside("text", "spans").alias("kept"), F.octet_length("text").alias("n"), F.size("spans").cast("long").alias("n_spans"), *carry)
+    return cut.select("doc_id", "kept", (F.col("n") - F.octet_length("kept")).cast("long").alias("n_removed"), "n_spans", *carry)
+
+
+def readable(kept):
+    """Text of kept bytes; what a cut left of a character is dropped."""
+
+    @F.pandas_udf("string")
+    def decoded(data: pd.Series) -> pd.Series:
+        return pd.Series([x.decode("utf-8", "ignore") for x in data])
+
+    return decoded(kept)
