@@ -22,7 +22,9 @@ from parcelry.llm.common import blocks_for, ready
 from parcelry.llm.hashing import Powers, mixed
 
 KEY = 24
-BLOCK_BYTES = 12 << 20
+#: Text of a block; a task holds about 20 bytes for each of them. A bucket gets the marks of BLOCKS_A_BUCKET blocks' text.
+BLOCK_BYTES = 4 << 20
+BLOCKS_A_BUCKET = 3
 CHUNK_BYTES = 1 << 19
 LAST = (1 << 63) - 1
 LOW48 = np.uint64((1 << 48) - 1)
@@ -257,33 +259,34 @@ def find_repeats(docs, depth=50, carry=()):
     spark = ready(docs.sparkSession)
     rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("owner"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"), *carry)
     n = blocks_for(rows, BLOCK_BYTES, "data", least=64)
+    m = -(-n // BLOCKS_A_BUCKET)
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("owner", "data"), F.lit(n)).cast("int")).repartition(n, "block")
 
     def ask(table):
         block = Block(table, depth)
-        return requests(table.column("block")[0].as_py(), [(block.key, 6), (block.context, 6)], block.owner, n, block.key >> np.uint64(8))
+        return requests(table.column("block")[0].as_py(), [(block.key, 6), (block.context, 6)], block.owner, m, block.key >> np.uint64(8))
 
     def ask_windows(table, answers):
         if not table.num_rows or not answers.num_rows:
-            return requests(0, [], np.empty(0, np.int64), n, np.empty(0, np.uint64))
+            return requests(0, [], np.empty(0, np.int64), m, np.empty(0, np.uint64))
         block = Block(table, depth)
         classes = block.owner.copy()
-        places = places_in_buckets(block.key >> np.uint64(8), n)
+        places = places_in_buckets(block.key >> np.uint64(8), m)
         apply_replies(answers, 0, places, classes)
         asked = apply_replies(answers, 1, places, classes)
         _, names, _, least = open_windows(block, classes, asked, depth)
-        return requests(table.column("block")[0].as_py(), [(names, 8)], least, n, names >> np.uint64(8))
+        return requests(table.column("block")[0].as_py(), [(names, 8)], least, m, names >> np.uint64(8))
 
     def finish(table, answers):
         ids, spans = table.column("owner").to_numpy(), [[] for _ in range(table.num_rows)]
         if answers.num_rows or table.num_rows > 1:
             block = Block(table, depth)
             classes = block.owner.copy()
-            places = places_in_buckets(block.key >> np.uint64(8), n)
+            places = places_in_buckets(block.key >> np.uint64(8), m)
             apply_replies(answers, 0, places, classes)
             asked = apply_replies(answers, 1, places, classes)
             wanted, names, of_window, least = open_windows(block, classes, asked, depth)
-            apply_replies(answers, 2, places_in_buckets(names >> np.uint64(8), n), least)
+            apply_replies(answers, 2, places_in_buckets(names >> np.uint64(8), m), least)
             base = at = 0
             for held, chunk in block.chunks:
                 of = block.of[base : base + len(chunk.mark)]
