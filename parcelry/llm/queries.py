@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, neighbours, packing, quality, ranked, repeats, rules, simhash
+from parcelry.llm import bpe, language, neighbours, packing, quality, ranked, repeats, rules, simhash, warc
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -95,3 +95,17 @@ def pipeline(spark, folder):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+@register("op6_warc")
+def op6_warc(spark, folder):
+    """Every page as it comes back from the archives it was written to."""
+    records = warc.round_trip(table(spark, folder, "pages"))
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return records.select(
+        page("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), F.col("stated_bytes")).alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), F.regexp_replace("stated_digest", "^sha256:", "")).alias("payload_digest"),
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
