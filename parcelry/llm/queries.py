@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, neighbours, packing, quality, ranked, repeats, rules, simhash, warc
+from parcelry.llm import bpe, language, mixing, neighbours, packing, quality, ranked, repeats, rules, simhash, warc
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -109,3 +109,10 @@ def op6_warc(spark, folder):
         "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+@register("op3_mixing")
+def op3_mixing(spark, folder):
+    """Every document's log10 probability by the base and by the mixing model."""
+    scored = mixing.score(table(spark, folder, "documents"), holdout=10)
+    return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
