@@ -103,8 +103,9 @@ def ratios(docs, trusted):
     n_raw, n_target = sum(raw.values()), sum(target.values())
     if not n_target:
         return [0.0] * BUCKETS
-    share = lambda counts, n, k: math.log((counts.get(k, 0) + SMOOTH) / (n + SMOOTH * BUCKETS))
-    return [share(target, n_target, k) - share(raw, n_raw, k) for k in range(BUCKETS)]
+    # the target's prior is the raw corpus, so what neither says much about counts as neutral
+    share = {k: (raw.get(k, 0) + SMOOTH) / (n_raw + SMOOTH * BUCKETS) for k in range(BUCKETS)}
+    return [math.log((target.get(k, 0) + BUCKETS * share[k]) / (n_target + BUCKETS) / share[k]) for k in range(BUCKETS)]
 
 
 def with_ratio(docs, table):
