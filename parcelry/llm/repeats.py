@@ -10,7 +10,7 @@ KEY bytes have the smallest hash; windows side by side share it, and equal windo
 * Last digit: where one first digit has several second digits, the windows themselves to full depth.
 
 Blocks send each distinct class once, so a passage in a third of all documents is a row per block, not per document.
-Hashes have 64 bits for windows and 96 for classes.  Nothing is sampled and no group is capped.
+Hashes have 64 bits for windows and over 88 for classes (the bucket and 40 bits of the first digit, 48 of the second).  Nothing is sampled and no group is capped.
 """
 
 import numpy as np
@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from parcelry.llm.common import blocks_for, ready
 from parcelry.llm.hashing import Powers, mixed
 
-KEY = 24
+KEY = 30
 #: Text of a block; a task holds about 20 bytes for each of them. A bucket gets the marks of BLOCKS_A_BUCKET blocks' text.
 BLOCK_BYTES = 4 << 20
 BLOCKS_A_BUCKET = 3
 CHUNK_BYTES = 1 << 19
 LAST = (1 << 63) - 1
-LOW48 = np.uint64((1 << 48) - 1)
+LOW24, LOW48 = np.uint64((1 << 24) - 1), np.uint64((1 << 48) - 1)
 
 
 class Chunk:
@@ -93,7 +93,9 @@ class Block:
         self.data = table.column("data").to_pylist()
         self.chunks = list(chunks(self.ids, self.data, depth))
         gather = lambda name, kind: np.concatenate([getattr(c, name) for _, c in self.chunks] or [np.empty(0, kind)])
-        key, context = gather("key", np.uint64) & LOW48, gather("context", np.uint64) & LOW48
+        key, context = gather("key", np.uint64), gather("context", np.uint64) & LOW48
+        # the upper 24 bits choose the bucket, so that the rest can be sent in order
+        key = key << np.uint64(24) | key >> np.uint64(40)
         owner = np.concatenate([self.ids[np.array(held)][c.doc] for held, c in self.chunks] or [np.empty(0, np.int64)])
         order = np.lexsort((owner, context, key))
         fresh = np.r_[True, (key[order][1:] != key[order][:-1]) | (context[order][1:] != context[order][:-1])][: len(order)]
@@ -104,25 +106,25 @@ class Block:
 
 
 def packed(x, width):
-    """The low ``width`` bytes of each integer."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    """The low ``width`` bytes of each integer, all lowest ones first: the upper bytes of sorted numbers compress well."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
 def unpacked(data, width):
     out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
     return out.view("<u8").ravel()
 
 
 def with_owners(owners):
-    """Owners as the distinct ones and a place among them, and the number of bytes of a place."""
+    """Owners as the distinct ones (steps from one to the next) and a place among them, and the number of bytes of a place."""
     names, at = np.unique(owners, return_inverse=True)
     width = 1 if len(names) <= 1 << 8 else 2 if len(names) <= 1 << 16 else 4
-    return names.astype("<i8").tobytes(), packed(at.astype(np.uint64), width), width
+    return packed(np.diff(names, prepend=0), 8), packed(at.astype(np.uint64), width), width
 
 
 def owners_of(names, at, width):
-    return np.frombuffer(names, "<i8")[unpacked(at, width).astype(np.int64)]
+    return np.cumsum(unpacked(names, 8).view(np.int64))[unpacked(at, width).astype(np.int64)]
 
 
 REQUEST = "bucket int, block int, digits binary, names binary, at binary, width int"
@@ -166,8 +168,8 @@ def settle_classes(table):
     """Replies to the blocks of one bucket: smaller owners of their classes (kind 0), and classes whose windows must be compared (kind 1)."""
     sizes = sizes_of(table)
     parts = table.column("digits").to_pylist()
-    key = np.concatenate([unpacked(d[: 6 * n], 6) for d, n in zip(parts, sizes)])
-    context = np.concatenate([unpacked(d[6 * n :], 6) for d, n in zip(parts, sizes)])
+    key = np.concatenate([unpacked(d[: 5 * n], 5) for d, n in zip(parts, sizes)])
+    context = np.concatenate([unpacked(d[5 * n :], 6) for d, n in zip(parts, sizes)])
     owner = np.concatenate([owners_of(*x) for x in zip(*(table.column(c).to_pylist() for c in ("names", "at", "width")))])
     order = np.lexsort((owner, context, key))
     new_key = np.r_[True, key[order][1:] != key[order][:-1]]
@@ -264,14 +266,14 @@ def find_repeats(docs, depth=50, carry=()):
 
     def ask(table):
         block = Block(table, depth)
-        return requests(table.column("block")[0].as_py(), [(block.key, 6), (block.context, 6)], block.owner, m, block.key >> np.uint64(8))
+        return requests(table.column("block")[0].as_py(), [(block.key >> np.uint64(24), 5), (block.context, 6)], block.owner, m, block.key & LOW24)
 
     def ask_windows(table, answers):
         if not table.num_rows or not answers.num_rows:
             return requests(0, [], np.empty(0, np.int64), m, np.empty(0, np.uint64))
         block = Block(table, depth)
         classes = block.owner.copy()
-        places = places_in_buckets(block.key >> np.uint64(8), m)
+        places = places_in_buckets(block.key & LOW24, m)
         apply_replies(answers, 0, places, classes)
         asked = apply_replies(answers, 1, places, classes)
         _, names, _, least = open_windows(block, classes, asked, depth)
@@ -282,7 +284,7 @@ def find_repeats(docs, depth=50, carry=()):
         if answers.num_rows or table.num_rows > 1:
             block = Block(table, depth)
             classes = block.owner.copy()
-            places = places_in_buckets(block.key >> np.uint64(8), m)
+            places = places_in_buckets(block.key & LOW24, m)
             apply_replies(answers, 0, places, classes)
             asked = apply_replies(answers, 1, places, classes)
             wanted, names, of_window, least = open_windows(block, classes, asked, depth)
