@@ -58,7 +58,7 @@ def listing_pages(spark, folder):
         t('<html><body><ul class="pagination"><li><a href="#">1</a></li><li><a>'), F.col("l_partkey").cast("string"),
         t('</a></li><li><a>Next</a></li></ul><a class="card-cm" href="/outside">no</a><div class="gap-24 d-flex flex-column card-container">'),
         card(key, F.concat(t("/p/"), key)), t('<a class="banner" href="/ad">ad</a>'),
-        card(F.concat(key, t("b")), F.concat(t("https://other.example/"), key)), t("</div></body></html>"),
+        card(F.concat(key, t("b")), F.concat(t("https://other.example/"), key)), t('</div><div class="related"><a class="card-cm" href="/related">no</a></div></body></html>'),
     )
     return rows.select(F.col("l_orderkey").alias("page_id"), F.concat(t(BASE + "/"), key).alias("url"), html.alias("html"))
 
@@ -92,18 +92,18 @@ def x2(spark, folder):
     return listing_pages(spark, folder).select("page_id", F.coalesce(L.last_page("html"), F.lit(1)).alias("total"))
 
 
-def first_cards(spark, folder):
-    return listing_pages(spark, folder).select("page_id", L.card_blocks("html")[0].alias("card"))
+def all_cards(spark, folder):
+    return listing_pages(spark, folder).select("page_id", F.explode(L.card_blocks("html")).alias("card"))
 
 
-@register("x3_id", "SELECT l_orderkey AS page_id, CAST(l_orderkey AS VARCHAR) AS id FROM lineitem")
+@register("x3_id", "SELECT l_orderkey AS page_id, CAST(l_orderkey AS VARCHAR) || unnest(['', 'b']) AS id FROM lineitem")
 def x3(spark, folder):
-    return first_cards(spark, folder).select("page_id", L.card_id("card").alias("id"))
+    return all_cards(spark, folder).select("page_id", L.card_id("card").alias("id"))
 
 
-@register("x4_title", f"SELECT l_orderkey AS page_id, {TITLE} AS title FROM lineitem")
+@register("x4_title", f"SELECT l_orderkey AS page_id, {TITLE} AS title FROM lineitem, range(2)")
 def x4(spark, folder):
-    return first_cards(spark, folder).select("page_id", L.card_title("card").alias("title"))
+    return all_cards(spark, folder).select("page_id", L.card_title("card").alias("title"))
 
 
 @register(
@@ -119,10 +119,10 @@ def x4_heading(spark, folder):
 @register(
     "x5_location",
     """SELECT l_orderkey AS page_id, n_name || ', ' || r_name AS location FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
- JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+ JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey, range(2)""",
 )
 def x5(spark, folder):
-    return first_cards(spark, folder).select("page_id", L.card_location("card").alias("location"))
+    return all_cards(spark, folder).select("page_id", L.card_location("card").alias("location"))
 
 
 def spoken(spark, folder):
@@ -201,11 +201,12 @@ def x13(spark, folder):
 @register(
     "x14_absolute_url",
     f"""SELECT page_id, CASE WHEN h = '' THEN NULL WHEN starts_with(h, '/') THEN '{BASE}' || h ELSE h END AS link
-FROM (SELECT page_id, regexp_extract(html, '<a\\s[^>]*?href="([^"]*)"', 1) AS h FROM pages)""",
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1)) AS h FROM pages)""",
 )
 def x14(spark, folder):
-    href = L.find("html", r'<a\s[^>]*?href="([^"]*)"')
-    return table(spark, folder, "pages").select("page_id", L.absolute_url(href, BASE).alias("link"))
+    links = F.regexp_extract_all("html", F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1))
+    rows = table(spark, folder, "pages").select("page_id", F.explode(links).alias("href"))
+    return rows.select("page_id", L.absolute_url(F.nullif("href", F.lit("")), BASE).alias("link"))
 
 
 @register(

@@ -3,11 +3,11 @@ from pyspark.sql import functions as F
 from catalogue.explore import METRICS, box_sql, metric_row, rounded
 from catalogue.registry import homes, places, register, table
 from parcelry.operators import explore as X, regression as M
-from parcelry.operators.reshape import id_unit, train_test_split, with_fold
+from parcelry.operators.reshape import id_unit, id_unit_sql, train_test_split, with_fold
 from parcelry.plans import features as feature_plan, scoring
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-UNIT = "((((l_orderkey % 2147483648) * 1103515245 + 12345 + 7919 * 42) % 2147483648) // 65536) / 32768"
+UNIT = id_unit_sql("l_orderkey")
 
 
 def lines(spark, folder):

@@ -31,17 +31,17 @@ def w4(spark, folder):
     return R.sample_fraction(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.2)
 
 
-UNIT = "((((o_orderkey % 2147483648) * 1103515245 + 12345 + 7919 * 42) % 2147483648) // 65536)"
+UNIT = R.id_unit_sql("o_orderkey")
 
 
-@register("w5_split", f"SELECT o_orderkey, o_totalprice, CASE WHEN {UNIT} / 32768 < 0.2 THEN 'test' ELSE 'train' END AS part FROM orders")
+@register("w5_split", f"SELECT o_orderkey, o_totalprice, CASE WHEN {UNIT} < 0.2 THEN 'test' ELSE 'train' END AS part FROM orders")
 def w5(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     train, test = R.train_test_split(rows, R.id_unit("o_orderkey"))
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
-@register("w6_folds", f"SELECT o_orderkey, CAST(floor({UNIT} / 32768 * 5) AS INTEGER) AS fold FROM orders")
+@register("w6_folds", f"SELECT o_orderkey, CAST(floor({UNIT} * 5) AS INTEGER) AS fold FROM orders")
 def w6(spark, folder):
     return R.with_fold(table(spark, folder, "orders").select("o_orderkey"), R.id_unit("o_orderkey"))
 
@@ -76,7 +76,7 @@ def w9(spark, folder):
     return rows.select("l_orderkey", "l_partkey", largest_column(["a", "b", "c"]).alias("largest"))
 
 
-@register("w4_sample_by_id", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {UNIT} / 32768 < 0.05")
+@register("w4_sample_by_id", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {UNIT} < 0.05")
 def w4_by_id(spark, folder):
     """The sample by plain arithmetic on whole-number ids."""
     return table(spark, folder, "orders").select("o_orderkey", "o_totalprice").filter(R.id_unit("o_orderkey") < 0.05)

@@ -17,7 +17,10 @@ def listing_rows(spark, folder):
 
 @register("s1_csv_scan", f"{HOMES} SELECT {LISTING_COLUMNS} FROM homes")
 def s1(spark, folder):
-    path = files.write_table(listing_rows(spark, folder), fresh_path(spark, "listings"), "csv")
+    rows = listing_rows(spark, folder)
+    # whole numbers with gaps as a table of floats writes them, flags as Python does
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ("area_m2", "bedrooms", "bathrooms", "floors")} | {"frontage": F.initcap(F.col("frontage").cast("string"))})
+    path = files.write_table(rows, fresh_path(spark, "listings"), "csv")
     return files.load_buying_properties(spark, path)
 
 
@@ -25,7 +28,12 @@ def s1(spark, folder):
 def s2(spark, folder):
     """A log in which every ninth order left a broken line."""
     rows = homes(spark, folder)
-    record = F.to_json(F.struct(*[f.name for f in LISTING.fields]))
+    names = [f.name for f in LISTING.fields]
+    kind = F.col("key") % 4
+    as_float = [F.col(c).cast("double").alias(c) if c in ("area_m2", "floors") else F.col(c) for c in names]
+    as_text = [F.col(c).cast("string").alias(c) if c != "id" else F.col(c) for c in names]
+    as_number = [F.col(c).cast("int").alias(c) if c == "frontage" else F.col(c) for c in names]
+    record = F.when(kind == 0, F.to_json(F.struct(*as_float))).when(kind == 1, F.to_json(F.struct(*as_text))).when(kind == 2, F.to_json(F.struct(*as_number))).otherwise(F.to_json(F.struct(*names)))
     line = F.when(F.col("key") % 9 == 0, F.concat(F.lit("{"), F.col("title"))).otherwise(record)
     path = fresh_path(spark, "log")
     rows.select(line.alias("value")).write.text(path)
@@ -65,7 +73,9 @@ def s5(spark, folder):
 )
 def s6(spark, folder):
     part = table(spark, folder, "part")
-    labels = part.select(F.lower("p_brand").alias("key"), F.concat(F.lit("Label of "), "p_brand").alias("label")).distinct()
+    # every name twice, the second time in capitals and with a label that sorts behind
+    labels = part.select(F.lower("p_brand").alias("key"), F.concat(F.lit("Label of "), "p_brand").alias("label"))
+    labels = labels.union(part.select(F.upper("p_brand"), F.concat(F.lit("Later label of "), "p_brand"))).distinct()
     path = files.write_label_map(labels, fresh_path(spark, "brands"))
     saved = files.read_label_map(spark, path).toDF("old", "new")
     return translate(part.select("p_partkey", "p_brand"), "p_brand", saved, "brand_label")

@@ -88,10 +88,28 @@ def elements(markup, tag, css_class=None):
     return F.regexp_extract_all(_col(markup), F.lit(element_pattern(tag, css_class)), F.lit(1))
 
 
+def up_to_close(markup, tag):
+    """Mark-up up to the close tag that matches an open tag just before it; all of it if there is none."""
+
+    def cut(tags):
+        def step(state, t):
+            depth = state["depth"] + F.when(t.startswith("</"), -1).otherwise(1)
+            seen = state["seen"] + 1
+            return F.struct(depth.alias("depth"), seen.alias("seen"), F.when((state["stop"] < 0) & (depth < 0), seen).otherwise(state["stop"]).alias("stop"))
+
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(-1).alias("stop"))
+        stop = F.aggregate(tags, start, step)["stop"]
+        pieces = F.zip_with(F.split(markup, pattern), tags, lambda piece, t: F.concat(piece, F.coalesce(t, F.lit(""))))
+        return F.when(stop < 0, markup).otherwise(F.array_join(F.slice(pieces, 1, F.greatest(stop, F.lit(1))), ""))
+
+    pattern = rf"(?i)<{tag}(?=[\s>/])|</{tag}\s*>"
+    return F.transform(F.array(F.regexp_extract_all(markup, F.lit(pattern), F.lit(0))), cut)[0]
+
+
 def card_blocks(page):
     """Mark-up of every linked listing card inside the page's card container."""
     container = F.regexp_extract(_col(page), r'(?s)<div[^>]*class="gap-24 d-flex flex-column card-container"[^>]*>(.*)', 1)
-    links = F.regexp_extract_all(container, F.lit(r"(?s)<a\s[^>]*>.*?</a>"), F.lit(0))
+    links = F.regexp_extract_all(up_to_close(container, "div"), F.lit(r"(?s)<a\s[^>]*>.*?</a>"), F.lit(0))
     is_card = r'^<a\s(?=[^>]*href=")(?=[^>]*class="(?:[^"]*\s)?card-cm(?:\s[^"]*)?")'
     return F.filter(links, lambda a: a.rlike(is_card))
 

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import cut
-from parcelry.operators.lookup import collect_bounded, lookup
+from parcelry.operators.lookup import lookup
 from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_quantiles, long_form
 from parcelry.operators.reshape import column_rows
 from parcelry.schema import NON_MEASURES, numeric_columns
@@ -214,11 +214,8 @@ def area_members(labels, label="label"):
 
 
 def wards_by_province(labels, label="label"):
-    """Province and its sorted wards. For a dictionary whose size was checked; bigger ones stay in long form."""
-    members = area_members(labels, label)
-    if collect_bounded(members) is None:
-        raise ValueError("too many labels for lists: use area_members")
-    return members.groupBy("province").agg(F.array_sort(F.collect_list("ward")).alias("wards"))
+    """Province and its sorted wards, one list per province; ``area_members`` is the long form for any number of labels."""
+    return area_members(labels, label).groupBy("province").agg(F.array_sort(F.collect_list("ward")).alias("wards"))
 
 
 def error_metrics(df, actual, predicted, keys=()):

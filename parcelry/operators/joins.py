@@ -80,8 +80,11 @@ def renaming_table(spark, groups):
 
 
 def translate(df, column, table, name, default="Other"):
-    """Look ``column`` up in an (old, new) table, ignoring case and outer spaces."""
-    names = table.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
+    """Look ``column`` up in an (old, new) table, ignoring case and outer spaces on both sides.
+
+    Names given twice take the smallest new name, since a table has no first row.
+    """
+    names = table.groupBy(F.lower(strip("old")).alias("__old")).agg(F.min("new").alias("__new"))
     joined = lookup(df.withColumn("__old", F.lower(strip(column))), names, "__old", "left")
     return joined.withColumn(name, F.coalesce(F.col("__new"), F.lit(default))).drop("__old", "__new")
 

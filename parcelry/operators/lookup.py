@@ -4,25 +4,28 @@ The small side is broadcast only after its rows were counted and its bytes
 summed. A bigger one is joined by shuffle, with the hot keys spread over salts.
 """
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from parcelry.session import written
 
 MAX_ROWS = 50_000
 MAX_BYTES = 32 * 1024 * 1024
 SALTS = 16
+LONG_TYPES = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
 
 def collect_bounded(table, max_rows=MAX_ROWS, max_bytes=MAX_BYTES):
     """Rows of ``table`` if it stays within both limits, else None.
 
-    At most ``max_rows + 1`` rows ever reach the driver.
+    At most ``max_rows + 1`` rows reach the driver. Where cells can be long, Spark sums their bytes before any is collected.
     """
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    size = sum(len(v) if isinstance(v, (str, bytes, list)) else 8 for row in rows for v in row)
-    return rows if size <= max_bytes else None
+    first = table.limit(max_rows + 1)
+    if any(isinstance(f.dataType, LONG_TYPES) for f in table.schema.fields):
+        size = first.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+        if size > max_bytes:
+            return None
+    rows = first.collect()
+    return rows if len(rows) <= max_rows else None
 
 
 def settle(table, label, max_rows=MAX_ROWS):
@@ -54,6 +57,8 @@ def salted_join(df, table, on, how="left", salts=SALTS):
     """Shuffle join in which each key of ``df`` is spread over ``salts`` tasks."""
     on = [on] if isinstance(on, str) else list(on)
     salt = "__salt"
-    left = df.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    # by the row's own content: a task that runs again makes the same choice
+    parts = [F.to_json(f"`{f.name}`") if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    left = df.withColumn(salt, F.pmod(F.xxhash64(*parts), F.lit(salts)).cast("int"))
     right = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, salt], how).drop(salt)

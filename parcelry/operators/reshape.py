@@ -1,8 +1,12 @@
 """Top-k, sampling, splits, resampling and reshaping."""
 
+import math
+
 from pyspark.sql import functions as F
 
 _SPACE = 1_000_000
+#: Bits of the unit that resampling draws; Poisson counts go as far as it can tell apart.
+UNIT_BITS = 40
 
 
 def _keys(keys):
@@ -42,9 +46,31 @@ def sample_fraction(df, keys, fraction, seed=42):
 
 
 def id_unit(ident, seed=42):
-    """Like ``hash_unit`` for whole-number ids, by plain arithmetic (one step of a linear congruence)."""
-    state = F.pmod(F.pmod(F.col(ident), F.lit(1 << 31)) * F.lit(1103515245) + F.lit(12345 + 7919 * seed), F.lit(1 << 31))
-    return F.floor(state / F.lit(65536)) / F.lit(32768)
+    """Like ``hash_unit`` for whole-number ids, by plain arithmetic: congruences with shifted bits in between, the seed in each.
+
+    Without the shifts, another seed would only add a constant to every unit.
+    """
+    state = F.pmod(F.col(ident), F.lit(1 << 31))
+    for multiplier, shift in UNIT_STEPS:
+        state = F.pmod(state * F.lit(multiplier) + F.lit(unit_offset(seed, multiplier)), F.lit(1 << 31))
+        state = state.bitwiseXOR(F.shiftright(state, shift))
+    return F.shiftright(state, 7) / F.lit(1 << 24)
+
+
+UNIT_STEPS = ((1103515245, 15), (739982445, 12), (1540483477, 14))
+
+
+def unit_offset(seed, multiplier):
+    return (seed * 2654435761 + 1) * multiplier % (1 << 31)
+
+
+def id_unit_sql(ident, seed=42):
+    """The same number in SQL."""
+    state = f"({ident} % {1 << 31})"
+    for multiplier, shift in UNIT_STEPS:
+        state = f"(({state} * {multiplier} + {unit_offset(seed, multiplier)}) % {1 << 31})"
+        state = f"xor({state}, {state} >> {shift})"
+    return f"(({state} >> 7) / {1 << 24})"
 
 
 def train_test_split(df, unit, test_size=0.2):
@@ -58,12 +84,12 @@ def with_fold(df, unit, folds=5, name="fold"):
 
 def poisson_one(unit):
     """Poisson(1) count of a uniform number: how often a row is drawn when resampling with replacement."""
-    # Cumulative Poisson(1) probabilities.
-    steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
-             0.9994058151824183, 0.9999167588507119, 0.9999897508033253, 0.9999988747974020]
-    count = F.lit(0)
-    for step in steps:
-        count = count + (unit >= step).cast("int")
+    count, step, below, k = F.lit(0), math.exp(-1), 0.0, 0
+    while below + step <= 1 - 2.0**-UNIT_BITS:
+        below += step
+        count = count + (unit >= below).cast("int")
+        k += 1
+        step /= k
     return count
 
 
@@ -74,5 +100,5 @@ def bootstrap_weights(df, keys, replicates, seed=42, name="replicate", weight="w
     map side, so the expanded rows are never shuffled.
     """
     expanded = df.withColumn("__h", F.xxhash64(*_keys(keys), F.lit(seed))).withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    unit = F.pmod(F.xxhash64("__h", name), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    unit = F.pmod(F.xxhash64("__h", name), F.lit(1 << UNIT_BITS)) / F.lit(float(1 << UNIT_BITS))
     return expanded.withColumn(weight, poisson_one(unit)).filter(F.col(weight) > 0).drop("__h")

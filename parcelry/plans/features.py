@@ -72,4 +72,4 @@ def area_labels(train, prefix="ward_province_clean_"):
     """(key, label) for every one-hot area column: the label is the name without its prefix."""
     names = [c for c in train.columns if c.startswith(prefix)]
     keys = train.sparkSession.createDataFrame([(c,) for c in names], "key string")
-    return keys.withColumn("label", F.substring("key", len(prefix) + 1, 1 << 20))
+    return keys.withColumn("label", F.expr(f"substring(key, {len(prefix) + 1})"))

@@ -15,9 +15,44 @@ def without_nan(df):
     return df.withColumns({f.name: nan_to_null(f.name) for f in df.schema.fields if isinstance(f.dataType, kinds)})
 
 
+def read_field(text, kind):
+    """The value of a cell as it was written: whole numbers also as ``60.0``, flags also as ``True`` or ``1``; NULL if unreadable."""
+    text = F.trim(text)
+    number = nan_to_null(text.try_cast("double"))
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return number.cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.when(F.lower(text).isin("true", "t", "yes", "y"), True).when(F.lower(text).isin("false", "f", "no", "n"), False).when(number == 1, True).when(number == 0, False)
+    return text.try_cast(kind)
+
+
+def typed(rows, schema, prefix=""):
+    """Columns of text converted one by one; strings stay as they are."""
+    texts = {f.name: F.col(f"{prefix}`{f.name}`") for f in schema.fields}
+    return rows.select(*[(texts[f.name] if isinstance(f.dataType, T.StringType) else read_field(texts[f.name], f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def as_text(schema):
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def csv_cells(spark, path, schema):
+    return spark.read.schema(as_text(schema)).option("header", True).option("escape", '"').csv(path)
+
+
 def read_listings_csv(spark, path, schema=LISTING):
-    """Listing table with a header; the schema is given, never inferred."""
-    return without_nan(spark.read.schema(schema).option("header", True).option("escape", '"').csv(path))
+    """Listing table with a header; the schema is given, never inferred, and each cell is converted by ``read_field``."""
+    return typed(csv_cells(spark, path, schema), schema)
+
+
+def unreadable_cells(spark, path, schema=LISTING):
+    """For each column of a CSV table, how many cells hold something that its type cannot take."""
+    texts = csv_cells(spark, path, schema)
+    kept = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    lost = [F.count_if((F.trim(f"`{f.name}`") != "") & (F.lower(F.trim(f"`{f.name}`")) != "nan") & read_field(F.col(f"`{f.name}`"), f.dataType).isNull()).alias(f.name) for f in kept]
+    return texts.agg(*lost).unpivot([], [f.name for f in kept], "column", "cells")
 
 
 def load_buying_properties(spark, path):
@@ -28,12 +63,22 @@ def load_rental_properties(spark, path):
     return read_listings_csv(spark, path)
 
 
-def read_jsonl(spark, path, schema=LISTING):
-    """One record per line; lines that are not valid JSON are skipped."""
-    marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+def json_records(spark, path, schema):
+    """Each non-empty line as ``r``, a record of texts with ``_bad``, which is set where the line is no JSON."""
+    marked = as_text(schema).add("_bad", T.StringType())
     record = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    rows = spark.read.text(path).filter(F.trim("value") != "").select(record.alias("r"))
-    return without_nan(rows.filter(F.col("r._bad").isNull()).select("r.*").drop("_bad"))
+    return spark.read.text(path).filter(F.trim("value") != "").select(record.alias("r"))
+
+
+def read_jsonl(spark, path, schema=LISTING):
+    """One record per line; lines that are not valid JSON are skipped, all others kept, field by field as ``read_field`` reads them."""
+    return typed(json_records(spark, path, schema).filter(F.col("r._bad").isNull()), schema, "r.")
+
+
+def rejected_lines(spark, path, schema=LISTING):
+    """How many lines of a log are kept and how many are no JSON."""
+    bad = F.col("r._bad").isNotNull()
+    return json_records(spark, path, schema).agg(F.count_if(~bad).alias("kept"), F.count_if(bad).alias("rejected"))
 
 
 def seen_ids(records):
