@@ -261,3 +261,15 @@ def a22(spark, folder):
 def metric_row(df):
     digits = {"rmse": 4, "mae": 4, "r2": 6}
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+
+
+@register(
+    "a15_binned_means",
+    """WITH ends AS (SELECT min(l_quantity) AS low, max(l_quantity) AS high FROM lineitem)
+SELECT CAST(least(floor((l_quantity - low) / ((high - low) / 12)), 11) AS INTEGER) AS bin, round(any_value(low) + (least(floor((l_quantity - low) / ((high - low) / 12)), 11) + 0.5) * any_value((high - low) / 12), 6) AS x,
+ round(avg(l_extendedprice), 4) AS mean, count(*) AS n FROM lineitem, ends GROUP BY 1, least(floor((l_quantity - low) / ((high - low) / 12)), 11)""",
+)
+def a15_bins(spark, folder):
+    """Trend of price over quantity in twelve steps."""
+    found = X.binned_means(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", 12)
+    return found.select("bin", F.round("x", 6).alias("x"), F.round("mean", 4).alias("mean"), "n")

@@ -218,6 +218,18 @@ def wards_by_province(labels, label="label"):
     return area_members(labels, label).groupBy("province").agg(F.array_sort(F.collect_list("ward")).alias("wards"))
 
 
+def binned_means(df, x, y, bins=30):
+    """Mean of y over equal steps of x, for a trend line: (bin, x, mean, n) of the bins that have rows."""
+    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    ends = pairs.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
+    if ends["low"] is None:
+        return pairs.select(F.lit(0).alias("bin"), "x", F.col("y").alias("mean"), F.lit(0).cast("long").alias("n"))
+    width = (ends["high"] - ends["low"]) / bins or 1.0
+    place = F.least(F.floor((F.col("x") - F.lit(ends["low"])) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    groups = pairs.groupBy(place.alias("bin")).agg(F.avg("y").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return groups.select("bin", (F.lit(ends["low"]) + (F.col("bin") + 0.5) * F.lit(width)).alias("x"), "mean", "n")
+
+
 def error_metrics(df, actual, predicted, keys=()):
     """RMSE, MAE and R² of predictions, per group."""
     y, p = F.col(actual), F.col(predicted)

@@ -5,12 +5,22 @@ the same rows are wanted (penalty grids, bootstrap replicates), all of them are
 solved from sums of products taken in one aggregation.
 """
 
+import json
 import math
 
 import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
+    DecisionTreeRegressor,
+    GBTRegressionModel,
+    GBTRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import functions as F
 
 from parcelry.operators.explore import error_metrics
@@ -132,7 +142,14 @@ class Stacking:
         self.bases, self.final, self.passthrough = dict(bases), final, passthrough
 
     def fit(self, df, label, fold="fold", folds=5):
-        """``df`` holds the feature vector, the label and a fold number per row."""
+        """``df`` holds the feature vector, the label and a fold number per row. It is read once for each base and fold, so it is stored first."""
+        df = df.persist()
+        try:
+            return self._fit(df, label, fold, folds)
+        finally:
+            df.unpersist()
+
+    def _fit(self, df, label, fold, folds):
         parts = []
         for k in range(folds):
             seen, held = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
@@ -177,6 +194,53 @@ def spread(scores, metric="rmse"):
     return scores.agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
 
 
+def train_test_gap(model, train, test, label, name):
+    """One row: the model's RMSE and R² on both parts, and by how much the test part is worse."""
+    parts = evaluate(model, train, label, name).select("model", F.col("rmse").alias("train_rmse"), F.col("r2").alias("train_r2"))
+    both = parts.join(evaluate(model, test, label, name).select("model", F.col("rmse").alias("test_rmse"), F.col("r2").alias("test_r2")), "model")
+    return both.withColumns({"rmse_gap": F.col("test_rmse") - F.col("train_rmse"), "r2_gap": F.col("train_r2") - F.col("test_r2")})
+
+
+def feature_importances(spark, model, columns):
+    """(feature, importance) of a tree model whose vector was assembled from ``columns``, the largest first."""
+    pairs = zip(columns, map(float, model.featureImportances.toArray()))
+    return spark.createDataFrame(sorted(pairs, key=lambda p: (-p[1], p[0])), "feature string, importance double")
+
+
+# --- saving ------------------------------------------------------------------
+
+
+def save_model(spark, model, path):
+    """Store a fitted model: MLlib models in their own format, stacks with all their parts, searches as numbers."""
+    if isinstance(model, StackedModel):
+        about = {"kind": "stack", "bases": list(model.bases), "passthrough": model.passthrough}
+        for key, base in model.bases.items():
+            save_model(spark, base, f"{path}/base-{key}")
+        save_model(spark, model.meta, f"{path}/meta")
+    elif isinstance(model, ElasticNetSearch):
+        about = {"kind": "search", **{k: getattr(model, k) for k in ("l1_ratio", "alpha", "error", "coefficients")}, "intercept": float(model.intercept)}
+    else:
+        about = {"kind": type(model).__name__}
+        model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(json.dumps(about, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+    return path
+
+
+MODELS = {m.__name__: m for m in (LinearRegressionModel, DecisionTreeRegressionModel, RandomForestRegressionModel, GBTRegressionModel)}
+
+
+def load_model(spark, path):
+    about = json.loads(spark.read.text(f"{path}/about").first()[0])
+    if about["kind"] == "stack":
+        return StackedModel({key: load_model(spark, f"{path}/base-{key}") for key in about["bases"]}, load_model(spark, f"{path}/meta"), about["passthrough"])
+    if about["kind"] == "search":
+        model = ElasticNetSearch()
+        for name in ("l1_ratio", "alpha", "error", "coefficients", "intercept"):
+            setattr(model, name, about[name])
+        return model
+    return MODELS[about["kind"]].load(f"{path}/model")
+
+
 # --- many linear fits from one aggregation -----------------------------------
 
 

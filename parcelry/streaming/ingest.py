@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F, types as T
 
-from parcelry.plans.extraction import listings_from_pages
+from parcelry.plans.extraction import listings_from_pages, one_row_each
 
 
 def read_stream(spark, folder, schema, format="parquet", pattern=None, files_per_trigger=None):
@@ -39,7 +39,7 @@ def ingest_new(stream, sink, checkpoint, ident="id"):
 
     def append(batch, batch_id):
         spark = batch.sparkSession
-        fresh = batch.filter(F.coalesce(F.col(ident).cast("string"), F.lit("")) != "").dropDuplicates([ident])
+        fresh = one_row_each(batch.filter(F.coalesce(F.col(ident).cast("string"), F.lit("")) != ""), ident)
         stored = _existing(spark, sink, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())]))
         if stored is not None:
             fresh = fresh.join(stored.filter(F.col("batch") != batch_id).select(ident), ident, "left_anti")

@@ -155,3 +155,21 @@ def test_exploration_views(listings):
     assert table.filter("price_million_vnd IS NULL").select("price_segment").distinct().collect()[0][0] == "High"
     for columns in (views.LOCATION, views.PRICE, views.SIZE, views.TIMELINE):
         assert views.topic(table, columns).columns == columns
+
+
+def test_saved_models_give_the_same_rows(spark, data, tmp_path):
+    _, _, df = data
+    rows = vectors(df)
+    tree = M.TreeRegression(maxDepth=3).fit(rows, "y")
+    stack = M.Stacking({"ridge": M.RidgeRegression(1.0), "tree": M.TreeRegression(maxDepth=3)}, M.RidgeRegression(1.0), passthrough=True).fit(rows, "y")
+    search = M.ElasticNetSearch().fit(df, FEATURES, "y")
+    for name, model in (("tree", tree), ("stack", stack), ("search", search)):
+        loaded = M.load_model(spark, M.save_model(spark, model, f"{tmp_path}/{name}"))
+        before, after = ({r["i"]: r["prediction"] for r in M.predict(m, rows if name != "search" else df).select("i", "prediction").collect()} for m in (model, loaded)) if name != "search" else (
+            {r["i"]: r["prediction"] for r in m.transform(df).select("i", "prediction").collect()} for m in (model, loaded)
+        )
+        assert before == after
+    importances = M.feature_importances(spark, tree, FEATURES).collect()
+    assert sum(r["importance"] for r in importances) == pytest.approx(1) and importances[0]["importance"] >= importances[-1]["importance"]
+    gap = M.train_test_gap(tree, rows.filter("fold > 0"), rows.filter("fold = 0"), "y", "tree").first()
+    assert gap["rmse_gap"] == pytest.approx(gap["test_rmse"] - gap["train_rmse"])
