@@ -4,9 +4,10 @@
 does not survive a group of billions of rows. Here a first aggregation takes
 approximate quantiles a little below and above each wanted one; a second
 aggregation counts the values inside these brackets one by one and everything
-between the brackets as a single cell. Ranks are then read off the running
-count over the cells, whose number is bounded by the bracket width, not by
-the group. Both aggregations combine on the map side.
+between the brackets as a single cell. Each bracket is cut into CHUNKS steps of
+its value range; the counts per step, a few hundred rows per group whatever its
+size, tell which steps hold a wanted rank, and only their cells are put in
+order, each step on its own. All aggregations combine on the map side.
 
 Groups known to be small go to ``percentile`` instead, which needs one pass.
 """
@@ -22,6 +23,8 @@ ACCURACY = 10_000
 DIRECT_ROWS = 5_000
 # Half-width of a bracket, in units of the sketch's guaranteed rank error.
 MARGIN = 3.0
+# Steps of a bracket that are ordered apart from each other.
+CHUNKS = 256
 
 
 def clean_double(column):
@@ -86,13 +89,26 @@ def _narrowed(rows, keys, probs, accuracy):
     for lo, hi in zip(lows, highs):
         inside = inside | ((v >= lo) & (v <= hi))
         gap = gap + (v > hi).cast("int")
+    # brackets are in order, so the first that does not end below the value is the one it can lie in
+    low_end, high_end = (F.get(F.array(*x), gap) if m else F.lit(None).cast("double") for x in (lows, highs))
+    share = (v - low_end) / F.nullif(high_end - low_end, F.lit(0.0))
+    step = F.when((share >= 0) & (share <= 1), F.least(F.floor(share * CHUNKS), F.lit(CHUNKS - 1))).otherwise(F.lit(0))
     cells = (
         marked.withColumn("__in", inside)
-        .groupBy(*keys, "__n", F.when(F.col("__in"), v).alias("__exact"), F.when(~F.col("__in"), gap).alias("__gap"))
+        .withColumn("__chunk", (gap * 2 + F.col("__in").cast("int")).cast("long") * CHUNKS + F.when(F.col("__in"), step).otherwise(F.lit(0)))
+        .groupBy(*keys, "__n", "__chunk", F.when(F.col("__in"), v).alias("__exact"))
         .agg(F.count("__v").alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     )
-    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__lo")
-    running = cells.withColumn("__end", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    positions = [F.lit(p) * (F.col("__n") - 1) for p in probs]
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cells.groupBy(*keys, "__n", "__chunk").agg(F.sum("__c").alias("__t")).withColumn("__start", F.coalesce(F.sum("__t").over(before), F.lit(0)))
+    wanted = F.lit(False)
+    for position in positions:
+        for rank in (F.floor(position), F.ceil(position)):
+            wanted = wanted | ((rank >= F.col("__start")) & (rank < F.col("__start") + F.col("__t")))
+    chunks = totals.filter(wanted).select(*keys, "__chunk", "__start")
+    order = Window.partitionBy(*keys, "__chunk").orderBy("__lo")
+    running = cells.join(chunks, [*keys, "__chunk"]).withColumn("__end", F.col("__start") + F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
     start = F.col("__end") - F.col("__c")
 

@@ -50,3 +50,20 @@ def test_salted_join_equals_plain_join(spark):
         assert sorted(map(str, salted_join(df, table, "k", how).collect())) == plain
         assert sorted(map(str, lookup(df, table, "k", how).collect())) == plain
         assert sorted(map(str, lookup(df, table, "k", how, max_rows=3).collect())) == plain
+
+
+@pytest.mark.parametrize("chunks", [1, 7, 256])
+def test_steps_of_a_bracket_without_ties(spark, monkeypatch, chunks):
+    from parcelry.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "CHUNKS", chunks)
+    n = 60_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"))
+    assert group_quantiles(df, [], "v", [0.25, 0.26, 0.5], accuracy=20).first()["q"] == pytest.approx([(n - 1) / 4, (n - 1) * 0.26, (n - 1) / 2])
+
+
+def test_infinities_and_ties(spark):
+    values = [float("-inf")] * 5 + [1.0] * 50 + [2.0, 3.0] + [float("inf")] * 5
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = group_quantiles(df, [], "v", [0.0, 0.5, 1.0], accuracy=10).first()
+    assert got["q"][1] == 1.0
