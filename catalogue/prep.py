@@ -49,6 +49,16 @@ def f4(spark, folder):
     return prep.LabelEncoding("o_orderpriority").fit_transform(table(spark, folder, "orders").select("o_orderkey", "o_orderpriority"))
 
 
+MANY = "(l_orderkey * 8 + l_linenumber) * 100003 + l_partkey"
+
+
+@register("f4_label_codes_many", f"SELECT {MANY} AS id, dense_rank() OVER (ORDER BY 'L' || CAST({MANY} AS VARCHAR)) - 1 AS label FROM lineitem")
+def f4_many(spark, folder):
+    """Nearly one label per row: from 0.01 on too many for local rows, so codes come from a range sort and join by shuffle."""
+    rows = table(spark, folder, "lineitem").select(F.expr(MANY).alias("id"))
+    return prep.LabelEncoding("label").fit_transform(rows.withColumn("label", F.concat(F.lit("L"), F.col("id").cast("string"))))
+
+
 @register(
     "f5_one_hot",
     """SELECT o_orderkey, CAST(s = 'F' AS INTEGER) AS "s_F", CAST(s = 'O' AS INTEGER) AS "s_O", CAST(s = 'nan' AS INTEGER) AS s_nan

@@ -175,7 +175,7 @@ def first_number(facts, pattern):
     return find_number(hit, pattern)
 
 
-# "70.5 m²" gives 5: the digits must touch the unit.
+# The phrases that name area and rooms. "70.5 m²" gives 5: the digits must touch the unit.
 AREA = rf"(\d+){WS}*m²"
 BEDROOMS = rf"(\d+){WS}*Phòng{WS}*ngủ"
 BATHROOMS = rf"(\d+){WS}*WC"
@@ -186,6 +186,7 @@ def title_floors(title):
 
     A title with both a count and a number follows the count.
     """
+    # The two words for a storey, here and below.
     counted = F.try_add(find_number(title, rf"(?iu)(\d+){WS}*(?:tầng|lầu)"), F.lit(1))
     numbered = find_number(title, rf"(?iu)(?:tầng|lầu){WS}*(\d+)")
     return F.coalesce(counted, numbered)

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from parcelry.functions import scalar as S
 from parcelry.operators.clean import add_missing_flags
@@ -80,6 +80,7 @@ def sensitivity_grid(ward, province, year, month, spark, profiles=PROFILES, rang
 def scenarios(houses):
     """Eight variants of every house: as it is, one room or floor more, without and with frontage, enlarged."""
     more = lambda c, by, least=0: S.at_least(F.col(c) + F.lit(by), least)
+    # Names and steps of the scenarios.
     changes = {
         "Base Case": {},
         "+1 Bedroom": {"bedrooms": more("bedrooms", 1)},
@@ -99,6 +100,6 @@ def scenarios(houses):
 
 
 def scenario_deltas(scored, key, price="predicted_price"):
-    """Price of each scenario less the base case of the same house, summarised before it is joined back."""
-    base = scored.filter(F.col("scenario") == "Base Case").groupBy(*key).agg(F.max(price).alias("__base"))
-    return lookup(scored, base, key).withColumn("price_delta", F.col(price) - F.col("__base")).drop("__base")
+    """Price of each scenario less the base case of the same house: one pass over the eight rows of a house."""
+    base = F.max(F.when(F.col("scenario") == "Base Case", F.col(price))).over(Window.partitionBy(*key))
+    return scored.withColumn("price_delta", F.col(price) - base)

@@ -8,6 +8,7 @@ from parcelry.operators.joins import SELECTED_PROVINCES, merged_province
 from parcelry.operators.quantiles import column_quantiles
 from parcelry.plans.features import with_location_and_date
 
+# The columns of each exploration table.
 LOCATION = ["id", "ward", "province", "area_m2", "price_million_vnd", "bedrooms", "bathrooms", "floors", "frontage"]
 PRICE = ["id", "price_million_vnd", "area_m2", "bedrooms", "bathrooms", "floors", "frontage", "price_segment"]
 SIZE = ["id", "area_m2", "bedrooms", "bathrooms", "floors"]
