@@ -184,8 +184,10 @@ def settle_classes(table):
         moved = np.flatnonzero(least[s] < owner[s])
         if len(moved):
             rows.append((block, bucket, 0, moved.astype("<u4").tobytes(), least[s][moved].astype("<i8").tobytes()))
-        if several[s].any():
-            rows.append((block, bucket, 1, np.flatnonzero(several[s]).astype("<u4").tobytes(), b""))
+        # a class with a smaller owner elsewhere is repeated as a whole; its windows are told by that owner's block
+        open_ = np.flatnonzero(several[s] & (least[s] == owner[s]))
+        if len(open_):
+            rows.append((block, bucket, 1, open_.astype("<u4").tobytes(), b""))
     return replies(rows)
 
 
