@@ -1,0 +1,192 @@
+"""Near copies by exact Jaccard similarity of word shingles, found through prefixes.
+
+All shingle hashes stand in one order.  Two sets of similarity ``LEAST`` or more share a shingle among the first fifth of
+each, so only these prefixes are dealt out.  Any order gives the same links; shingles that many prefixes have come last in
+it, so a common line or passage brings no pairs.  Keys that still have many texts hold near copies of each other: each
+text is first compared with one text of the key, drawn anew for each key, and then with those that are not yet in its group.
+Each candidate is checked on the whole sets.  Copies of a set take part once.
+"""
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import functions as F
+
+from parcelry.llm.common import ready, settled, texts, unique_join
+from parcelry.llm.hashing import Tokens, in_chunks, mixed
+from parcelry.llm.simhash import components
+
+#: Similarity is at least LEAST[0] / LEAST[1].
+LEAST = (4, 5)
+#: A key with more texts than this is not compared all with all at once.
+CROWD = 32
+#: Shingles in more prefixes than this come last in the order; also at most 2^20 of them, whatever the input.
+COMMON = 64
+PAIRS = 1 << 16
+#: So many candidate sets are told to the tasks; of more, all sets are dealt out.
+TOLD = 1 << 20
+
+
+def shingle_sets(batch, words):
+    """The sorted hashes of the distinct shingles of each text; a text with fewer words is one shingle, none has an empty set."""
+    for s in in_chunks(batch):
+        tokens = Tokens(batch[s])
+        h = tokens.hash
+        for a, b in zip(tokens.first, tokens.first[1:]):
+            own = h[a:b]
+            n = max(len(own) - words + 1, 1)
+            total = np.zeros(n if len(own) else 0, np.uint64)
+            for k in range(min(words, len(own))):
+                total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n])
+            yield np.unique(total)
+
+
+def sets_of(docs, words, common=None, prefix=True, told=None):
+    """``doc_id``, ``fp`` (hash of the set), ``size`` and ``part``, the set's prefix or all of it; ``told``: of these sets only."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            last = common.value if common else np.empty(0, np.uint64)
+            for doc, found in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words)):
+                fp = xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63)
+                if told is not None:
+                    at = np.searchsorted(told.value, fp)
+                    if at == len(told.value) or told.value[at] != fp:
+                        continue
+                part, size = found, len(found)
+                if prefix:
+                    late = np.isin(found, last)
+                    part = np.concatenate([found[~late], found[late]])[: size - -(-LEAST[0] * size // LEAST[1]) + 1]
+                rows.append((doc, fp, size, part.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "fp", "size", "part"])
+
+    return texts(docs).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long, size long, part binary")
+
+
+def keys_of(nodes):
+    """A row for each shingle of each prefix."""
+
+    def run(batches):
+        for batch in batches:
+            for s in range(0, batch.num_rows, 100):
+                fp, size, part = (batch.column(k).slice(s, 100) for k in range(3))
+                keys = [np.frombuffer(x, np.int64) for x in part.to_pylist()]
+                n = [len(x) for x in keys]
+                if sum(n):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(fp.to_numpy(), n)), pa.array(np.repeat(size.to_numpy(), n))], names=["key", "fp", "size"])
+
+    return nodes.select("fp", "size", "part").mapInArrow(run, "key long, fp long, size long")
+
+
+def candidates(keyed, cross=False):
+    """Pairs (a, b), a > b, with a common key and sizes that allow the similarity.
+
+    ``keyed``: key, fp, size, group. Under a crowded key each text is paired with one of them only; with ``cross``, crowded keys
+    only, all pairs between different groups.
+    """
+
+    def fits(size, x, y):
+        return LEAST[1] * np.minimum(size[x], size[y]) >= LEAST[0] * np.maximum(size[x], size[y])
+
+    def pairs(key, fp, size, group):
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+        for a, b in zip(edge, edge[1:]):
+            if b - a < 2 or (cross and b - a <= CROWD):
+                continue
+            if b - a > CROWD and not cross:
+                lead = a + np.argmin(mixed(fp[a:b].view(np.uint64) ^ key[a : a + 1].view(np.uint64)))
+                y = np.arange(a, b)
+                x = np.full(len(y), lead)
+                good = fits(size, x, y)
+                yield fp[x[good]], fp[y[good]]
+                continue
+            for k in range(a, b - 1):
+                y = np.arange(k + 1, b)
+                y = y[fits(size, k, y) & ((group[k] != group[y]) | (not cross))]
+                if len(y):
+                    yield np.full(len(y), fp[k]), fp[y]
+
+    def batch_of(held):
+        a, b = (np.concatenate(c) for c in zip(*held))
+        pair = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+
+    def run(batches):
+        rest, held, n = [np.empty(0, np.int64)] * 4, [], 0
+
+        def whole_keys():
+            nonlocal rest
+            for batch in batches:
+                columns = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(rest)]
+                last = np.searchsorted(columns[0], columns[0][-1]) if len(columns[0]) else 0
+                rest = [c[last:] for c in columns]
+                if last:
+                    yield [c[:last] for c in columns]
+            if len(rest[0]):
+                yield rest
+
+        for columns in whole_keys():
+            for pair in pairs(*columns):
+                held.append(pair)
+                n += len(pair[0])
+                if n >= PAIRS:
+                    yield batch_of(held)
+                    held, n = [], 0
+        if held:
+            yield batch_of(held)
+
+    n = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return keyed.select("key", "fp", "size", "group").repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+
+
+def checked(docs, pairs, words):
+    """The stored pairs whose whole sets are similar enough."""
+    spark = docs.sparkSession
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    told = None
+    if wanted.count() <= TOLD:
+        told = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("fp").to_numpy()))
+    sets = settled(sets_of(docs, words, prefix=False, told=told).groupBy("fp").agg(F.first("part").alias("part")), "sets")
+    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("part").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("part").alias("y")), "b")
+
+    def run(batches):
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                common = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                good.append(LEAST[1] * common >= LEAST[0] * ((len(x) + len(y)) // 8 - common))
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
+
+    return settled(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "similar")
+
+
+def near_copies(docs, words=5):
+    """``doc_id``, ``fp`` and ``component``, the smallest ``fp`` among the sets it is linked with, for each row.
+
+    Two texts are linked if the Jaccard similarity of their shingles is LEAST or more, or both have no word.
+    """
+    spark = ready(docs.sparkSession)
+    firsts = settled(sets_of(docs, words), "prefixes")
+    marked = firsts.select("doc_id", "fp")
+    one = lambda rows: rows.groupBy("fp").agg(F.first("size").alias("size"), F.first("part").alias("part"))
+    nodes = settled(one(firsts), "nodes")
+    total = nodes.agg(F.sum(F.octet_length("part")) / 8).first()[0] or 0
+    often = keys_of(nodes).groupBy("key").count().where(F.col("count") > max(COMMON, total / (1 << 20))).select("key").toArrow()
+    if often.num_rows:
+        common = spark.sparkContext.broadcast(np.sort(often.column("key").to_numpy().view(np.uint64)))
+        nodes = settled(one(sets_of(docs, words, common)), "nodes")
+    keyed = keys_of(nodes)
+    found = checked(docs, settled(candidates(keyed.withColumn("group", F.lit(0).cast("long"))), "pairs"), words)
+    placed = settled(components(found), "placed")
+    crowded = settled(keyed.groupBy("key").count().where(F.col("count") > CROWD).select("key"), "crowded")
+    if not crowded.isEmpty():
+        grouped = keyed.join(crowded, "key", "left_semi").join(placed.withColumnsRenamed({"node": "fp", "component": "group"}), "fp", "left")
+        across = settled(candidates(grouped.withColumn("group", F.coalesce("group", "fp")), cross=True), "pairs")
+        if not across.isEmpty():
+            placed = settled(components(found.union(checked(docs, across, words))), "placed")
+    counted = marked.groupBy("fp").agg(F.count("*").alias("n_rows"))
+    labels = counted.join(placed, counted["fp"] == placed["node"], "left").select("fp", "n_rows", F.coalesce("component", "fp").alias("component"))
+    return unique_join(marked, settled(labels, "labels"), "fp", ["component"]).select("doc_id", "fp", "component")

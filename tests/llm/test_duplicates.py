@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from parcelry.llm import hashing, repeats, simhash
+from parcelry.llm import hashing, repeats, shingles, simhash
 
 
 def brute_spans(rows, depth):
@@ -115,3 +115,38 @@ def test_fingerprint_bits():
 def test_word_hashes_depend_on_the_word_only():
     a, b = hashing.Tokens([b"x One two", b"", b" two"]), hashing.Tokens([b"two one"])
     assert a.hash[2] == a.hash[3] == b.hash[0] and a.hash[1] == b.hash[1] and a.first.tolist() == [0, 3, 3, 4]
+
+
+def shingles_of(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+@pytest.mark.parametrize("crowd, common", [(32, 64), (3, 5)])
+def test_near_copies_are_all_pairs_of_similarity_four_fifths(spark, docs, nothing, monkeypatch, crowd, common):
+    """Copies with a few words changed, below and above the bound, among texts that share a common opening."""
+    monkeypatch.setattr(shingles, "CROWD", crowd)
+    monkeypatch.setattr(shingles, "COMMON", common)
+    rnd = random.Random(7)
+    rows = []
+    for base in range(12):
+        words = ["a", "very", "common", "opening", "of", "each", "text"] + [f"w{rnd.randint(0, 10**6)}" for _ in range(90)]
+        for _ in range(10):
+            copy = list(words)
+            for _ in range(rnd.randint(0, 4)):
+                copy[rnd.randint(7, 96)] = f"x{rnd.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(500, ""), (501, None), (502, "one two"), (503, "One  two")]
+    sets = [shingles_of(t or "") for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                label = [label[j] if x == label[i] else x for x in label]
+    wanted = {frozenset(rows[k][0] for k in range(len(rows)) if label[k] == x) for x in set(label)}
+    groups = {}
+    for r in shingles.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        groups.setdefault(r["component"], set()).add(r["doc_id"])
+    assert {frozenset(g) for g in groups.values()} == wanted
+    assert shingles.near_copies(docs).count() == docs.count() and shingles.near_copies(nothing).collect() == []
