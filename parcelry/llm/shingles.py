@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelry.llm.common import ready, settled, texts, unique_join
 from parcelry.llm.hashing import Tokens, in_chunks, mixed
@@ -41,6 +42,24 @@ def shingle_sets(batch, words):
             yield np.unique(total)
 
 
+def digest(found):
+    return xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63)
+
+
+def with_fingerprint(docs, name, words=5):
+    """``docs`` with the hash of each text's set of shingles as column ``name``."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            data = [(t or "").encode() for t in batch.column(at).to_pylist()]
+            fps = [digest(found) for found in shingle_sets(data, words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], names=[*batch.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    return docs.mapInArrow(run, schema)
+
+
 def sets_of(docs, words, common=None, prefix=True, told=None):
     """``doc_id``, ``fp`` (hash of the set), ``size`` and ``part``, the set's prefix or all of it; ``told``: of these sets only."""
 
@@ -49,7 +68,7 @@ def sets_of(docs, words, common=None, prefix=True, told=None):
             rows = []
             last = common.value if common else np.empty(0, np.uint64)
             for doc, found in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), words)):
-                fp = xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63)
+                fp = digest(found)
                 if told is not None:
                     at = np.searchsorted(told.value, fp)
                     if at == len(told.value) or told.value[at] != fp:
