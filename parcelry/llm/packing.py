@@ -4,7 +4,7 @@ The lengths of all pieces are counted; the histogram has at most ``capacity`` en
 configuration program is solved: which fillings of a sequence, and how often each.  Multiplicative weights hold a price
 for each length, lower the more of its pieces are placed; the best filling at these prices is found by a knapsack dynamic
 programme over the capacity, and used for a share of the pieces.  The fractional counts are rounded down, and the
-pieces left over are placed best fit first.  The plan that results names, for each length, which ranks go to which
+pieces left over are placed best fit first; of several such plans the shortest is taken.  The plan that results names, for each length, which ranks go to which
 sequence; pieces get their rank from counts per task, so no task or driver ever holds the pieces.
 """
 
@@ -117,21 +117,31 @@ def best_fit(counts, capacity):
     return [(filling, times) for filling, times in held if times]
 
 
-def plan(counts, capacity, slack=1):
-    """Which ranks of each length go where: rows of (length, first rank, first sequence, copies in a sequence, offset).
-
-    ``counts`` maps each length to its number of pieces. Pieces that fill a sequence need no filling.  Of the rounded
-    fillings, those stay that leave at most ``slack`` tokens free; what the others would hold is placed best fit.
-    """
-    rest = Counter({x: n for x, n in counts.items() if x < capacity})
-    steps = []
-    for filling, times in fillings(rest, capacity).items() if rest else ():
+def rounded(used, counts, capacity, slack):
+    """Fillings and how often each: the fractional ones that leave at most ``slack`` tokens free, rounded down, and best fit for the rest."""
+    rest, steps = Counter(counts), []
+    for filling, times in used.items():
         whole = min([int(times + 1e-6), *(rest[x] // n for x, n in filling)])
         if whole and sum(x * n for x, n in filling) >= capacity - slack:
             steps.append((dict(filling), whole))
             for x, n in filling:
                 rest[x] -= n * whole
-    steps += best_fit({x: n for x, n in rest.items() if n}, capacity)
+    return steps + best_fit({x: n for x, n in rest.items() if n}, capacity)
+
+
+def plan(counts, capacity, slack=1):
+    """Which ranks of each length go where: rows of (length, first rank, first sequence, copies in a sequence, offset).
+
+    ``counts`` maps each length to its number of pieces. Pieces that fill a sequence need no filling.  The programme is rounded
+    keeping only fillings that leave at most ``slack`` tokens free, keeping looser ones, all, and none; of these plans, that
+    with fewest sequences is taken.
+    """
+    rest = {x: n for x, n in counts.items() if x < capacity and n}
+    steps = []
+    if rest:
+        used = fillings(rest, capacity)
+        slacks = dict.fromkeys([slack, *(capacity >> k for k in range(8, -1, -1)), -1])
+        steps = min((rounded(used, rest, capacity, x) for x in slacks), key=lambda found: sum(times for _, times in found))
     rows, ranks, sequence = [], Counter(), 0
     if counts.get(capacity):
         rows.append((capacity, 0, 0, 1, 0))

@@ -114,3 +114,18 @@ def test_best_filling_is_a_knapsack_optimum():
     best = max(a * 3.2 + b * 8.0 + c * 10.5 for a in range(7) for b in range(3) for c in range(3) if 3 * a + 7 * b + 9 * c <= 20)
     filling = packing.best_filling(prices, 20)
     assert sum(prices[x] * n for x, n in filling.items()) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("counts, capacity, most", [({400: 6000, 300: 12000}, 1024, 6000), ({500: 900, 250: 1800}, 1024, 900), ({600: 1000, 350: 1000, 100: 50}, 1024, 1005)])
+def test_plan_of_few_lengths(counts, capacity, most):
+    rows = packing.plan(counts, capacity)
+    used, cells = defaultdict(list), Counter()
+    for length, first, sequence, copies, offset in rows:
+        used[length].append((first, sequence, copies))
+    for length, n in counts.items():
+        steps = sorted(used[length])
+        for (first, sequence, copies), after in zip(steps, [*steps[1:], (n, 0, 0)]):
+            for k in range(after[0] - first):
+                cells[sequence + k // copies] += length
+    assert max(cells.values()) <= capacity and sum(cells.values()) == sum(x * n for x, n in counts.items())
+    assert len(cells) <= most
