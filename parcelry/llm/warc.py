@@ -18,7 +18,8 @@ MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
 LEAST_REVISIT = 100
 BLOCK = 4 << 20
-#: No header is longer; what looks like one is none.
+BLANK = b"\r\n\r\n"
+#: Bytes read behind a block at once; a longer header is read on to its blank line.
 HEADER = 1 << 16
 
 
@@ -74,7 +75,7 @@ def header_of(data, at):
     """Fields of the header at ``at`` and where its block begins, or None."""
     if not data.startswith(MAGIC, at):
         return None
-    end = data.find(b"\r\n\r\n", at, at + HEADER)
+    end = data.find(BLANK, at)
     if end < 0:
         return None
     fields = {}
@@ -85,13 +86,41 @@ def header_of(data, at):
     return (fields, end + 4) if fields.get("content-length", "").isdigit() else None
 
 
+def with_headers(archive, start, block):
+    """A block of a file, and what follows up to the blank line of the last header that begins in it."""
+    data = archive.read(start, block + HEADER)
+    at = data.rfind(MAGIC, 0, block + len(MAGIC) - 1)
+    while at >= 0 and data.find(BLANK, at) < 0:
+        more = archive.read(start + len(data), len(data))
+        if not more:
+            break
+        data += more
+    return data
+
+
+def last_length(data, a, b):
+    """Place and value of the last content-length among the lines of data[a:b]; -1 and an empty value if there is none."""
+    found = -1, b""
+    for row in data[a:b].split(b"\r\n"):
+        name, colon, value = row.partition(b":")
+        if colon and name.strip().lower() == b"content-length":
+            found = a, value.strip()
+        a += len(row) + 2
+    return found
+
+
 def steps(data, base, block, length):
     """Candidates of a block of a file: (offset, first place behind the block, or behind the file, that its chain leads to), broken chains left out."""
-    found, at = [], data.find(MAGIC)
+    found, at, end = [], data.find(MAGIC), -1
     while 0 <= at < block:
-        header = header_of(data, at)
-        if header:
-            found.append((at, header[1] + int(header[0]["content-length"]) + len(END)))
+        # candidates before one blank line have the same last lines, which are looked at once
+        if end < at:
+            end = data.find(BLANK, at)
+            if end < 0:
+                break
+            line, size = last_length(data, at + len(MAGIC), end)
+        if line >= at + len(MAGIC) and size.isdigit():
+            found.append((at, end + len(BLANK) + int(size) + len(END)))
         at = data.find(MAGIC, at + 1)
     leads = {}
     for at, after in reversed(found):
@@ -108,7 +137,7 @@ def reachable(spark, folder, block=BLOCK):
     def scan(batches):
         for batch in batches:
             for path, length, start in zip(*(c.to_pylist() for c in batch.columns)):
-                pairs = steps(Archive(path).read(start, block + HEADER), start, block, length)
+                pairs = steps(with_headers(Archive(path), start, block), start, block, length)
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(pairs), pa.string()), pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["path", "at", "to"])
 
     leads = settled(parts.mapInArrow(scan, "path string, at long, to long"), "leads")
@@ -138,11 +167,12 @@ def read_records(spark, folder, block=BLOCK):
     def records(path, at):
         archive, stop = Archive(path), (at // block + 1) * block
         while at < stop:
-            head = archive.read(at, 1 << 12)
+            n = 1 << 12
+            head = archive.read(at, n)
+            while BLANK not in head and len(head) == n:
+                n *= 8
+                head = archive.read(at, n)
             header = header_of(head, 0)
-            if header is None:
-                head = archive.read(at, HEADER)
-                header = header_of(head, 0)
             if header is None:
                 return
             fields, begin = header

@@ -62,3 +62,13 @@ def test_cut_off_and_foreign_files(spark, pages):
     with open(os.path.join(os.path.dirname(path), "other.txt"), "wb") as f:
         f.write(b"no record here " + TRAP.encode())
     assert len(warc.read_records(spark, folder, block=300).collect()) == 4
+
+
+@pytest.mark.parametrize("block", [5000, warc.BLOCK])
+def test_headers_of_any_length(spark, block):
+    """A url of over 64 KB in the middle of a file, and payloads full of magics without a blank line."""
+    rows = [(k, f"http://h/{k}", f"page {k} " * 20) for k in range(40)]
+    rows += [(40, "data:" + "u" * 70_000, "long"), (41, "data:" + "v" * 600_000, "longer " * 30), (42, "t", "WARC/1.0\r\n" * 9000), (43, "t", "WARC/1.0\r\nContent-Length: 7\r\n" * 3000), (44, "last", "end")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {int(r["record_id"][10:-1]): bytes(r["payload"]).decode() for r in warc.round_trip(pages, block=block).collect()}
+    assert got == {i: html for i, _, html in rows}
