@@ -12,8 +12,8 @@ import math
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-#: Trusted documents at most; those with the smallest hashes of their ids.
-TRUSTED = 20_000
+#: So many trusted ids are broadcast; more are joined by shuffle.
+TOLD = 1 << 20
 THRESHOLD = -0.2
 SMOOTH = 1.0
 WINDOW = 8
@@ -85,10 +85,10 @@ def base_counts(docs):
     )
 
 
-def trusted_ids(labels, limit=TRUSTED):
-    """Up to ``limit`` documents labelled as good; the limit bounds what is broadcast."""
+def trusted_ids(labels):
+    """All documents labelled as good."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    return good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return good.select("doc_id").distinct()
 
 
 def ratios(docs, trusted):
@@ -96,9 +96,14 @@ def ratios(docs, trusted):
 
     Every document is counted. Without a trusted document all ratios are 0.
     """
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left")
-    grams = marked.select("good", F.explode(bound(words_of(F.col("text")), grams_of)).alias("bucket"))
-    tally = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("target")).collect()  # BUCKETS rows at most
+    own, few = docs.select("doc_id", "text"), trusted.count() <= TOLD
+    if few:
+        marked = own.join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left").select("good", "text", F.lit(1).alias("any"))
+    else:
+        # documents without an id meet no label and stay out of the shuffle
+        marked = own.select(F.lit(None).cast("int").alias("good"), "text", F.lit(1).alias("any")).union(own.join(trusted.hint("shuffle_merge"), "doc_id", "left_semi").select(F.lit(1), "text", F.lit(None).cast("int")))
+    grams = marked.select("good", "any", F.explode(bound(words_of(F.col("text")), grams_of)).alias("bucket"))
+    tally = grams.groupBy("bucket").agg(F.count("any").alias("raw"), F.count("good").alias("target")).collect()  # BUCKETS rows at most
     raw, target = ({r["bucket"]: r[c] for r in tally} for c in ("raw", "target"))
     n_raw, n_target = sum(raw.values()), sum(target.values())
     if not n_target:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelry.llm import language, mixing, neighbours, quality, rules
 
@@ -150,6 +151,14 @@ def test_rules_reject_what_the_trusted_never_say(spark):
     assert all(kept[k] for k in range(200)) and not any(kept[k] for k in range(200, 260))
 
 
+def test_rules_trust_every_good_label(spark, docs, labels, monkeypatch):
+    many = spark.range(20_050).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert rules.trusted_ids(many.union(many)).count() == 20_050
+    told = rules.ratios(docs, rules.trusted_ids(labels))
+    monkeypatch.setattr(rules, "TOLD", 0)
+    assert any(told) and rules.ratios(docs, rules.trusted_ids(labels)) == told
+
+
 # --- neighbours -------------------------------------------------------------
 
 
