@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, mixing, neighbours, packing, quality, ranked, repeats, rules, simhash, warc
+from parcelry.llm import bpe, language, mixing, neighbours, packing, pieces, quality, ranked, repeats, rules, simhash, warc
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -116,3 +116,16 @@ def op3_mixing(spark, folder):
     """Every document's log10 probability by the base and by the mixing model."""
     scored = mixing.score(table(spark, folder, "documents"), holdout=10)
     return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op12_pieces")
+def op12_pieces(spark, folder):
+    """Every document encoded into pieces and decoded again: number of ids and digests of both."""
+    model = pieces.shared_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    both = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return both.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
