@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, mixing, neighbours, packing, pieces, quality, ranked, repeats, rules, simhash, warc
+from parcelry.llm import bpe, language, mixing, neighbours, packing, pieces, quality, ranked, repair, repeats, rules, simhash, warc
 from parcelry.llm.common import remainder, table
 
 QUERIES = {}
@@ -129,3 +129,10 @@ def op12_pieces(spark, folder):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register("op11_repair")
+def op11_repair(spark, folder):
+    """Every conversation's faults after damage, its cheapest repair, and the digest of what that leaves."""
+    conversations = table(spark, folder, "conversations")
+    return repair.report(conversations, repair.damaged(conversations))
