@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import bpe, language, mixing, neighbours, packing, pieces, quality, ranked, repair, repeats, rules, simhash, warc
-from parcelry.llm.common import remainder, table
+from parcelry.llm import bpe, language, mixing, neighbours, packing, pieces, quality, ranked, repair, repeats, rules, simhash, trie, warc
+from parcelry.llm.common import ready, remainder, settled, table
 
 QUERIES = {}
 CHECKS = {}
@@ -136,3 +136,10 @@ def op11_repair(spark, folder):
     """Every conversation's faults after damage, its cheapest repair, and the digest of what that leaves."""
     conversations = table(spark, folder, "conversations")
     return repair.report(conversations, repair.damaged(conversations))
+
+
+@register("op13_trie")
+def op13_trie(spark, folder):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    turns = settled(trie.placed(table(ready(spark), folder, "conversations")), "turns")
+    return trie.prefix_trie(trie.rebuilt(turns))
