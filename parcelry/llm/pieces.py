@@ -104,7 +104,22 @@ class PieceModel:
             self.labels.append(label)
             self.opens.append(p.type == NORMAL and p.piece.startswith(MARK))
         # no piece has a blank after another character: then nothing is merged across a blank, and words are encoded alone
-        self.apart = self.escape and not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        self.pattern = self.word_pattern()
+
+    def word_pattern(self):
+        """Cuts a text only between characters that no piece has side by side, so that nothing is merged across a cut.
+
+        That is before a blank, if no piece has one behind another character, between a letter and some marks, and behind
+        some control characters. Without byte pieces a run of characters without a piece is one unknown and stays whole.
+        """
+        pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        if not self.escape or not self.bytes or any(b == MARK != a for a, b in pairs):
+            return "(?s).+"
+        letters = {c for p in self.ids for c in p if c.isalpha()}
+        marks = [c for c in map(chr, range(256)) if not c.isalnum() and c != " " and not any(c == b and a in letters for a, b in pairs)]
+        ends = [c for c in marks if not any(c == a for a, _ in pairs)]
+        some = lambda cs: "".join(map(re.escape, sorted(cs)))
+        return f"(?s)(?:{MARK}+|[^{MARK}])(?:(?<![{some(ends)}])[^{MARK}{some(marks)}]+|(?<![{some(letters)}])[{some(marks)}])*" if marks and ends else f"{MARK}+[^{MARK}]*|[^{MARK}]+"
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in {"words", "split"}}
@@ -112,7 +127,7 @@ class PieceModel:
     def start(self):
         if "words" not in self.__dict__:
             self.words = Recent(self.word, CACHED_WORDS)
-            self.split = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+" if self.apart else "(?s).+").findall
+            self.split = re.compile(self.pattern).findall
         return self
 
     def normalise(self, text):
