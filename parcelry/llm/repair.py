@@ -5,13 +5,13 @@ initials of the roles read ``(s?(ua)+)?``.  A search goes through the turns dept
 bound on the cost allows; a state that failed keeps the least cost that it would have needed, and the least of those is
 the next bound.  So the first path that is accepted is the cheapest, and of equal ones the least in ASCII order.
 
-Turns are sorted over all tasks by conversation and place, so that a conversation of any length is cut into runs and runs
-into segments of at most ``SEGMENT`` turns.  A conversation that lies in one task is searched there; of a run at the edge
-of a task every segment is searched for each pair of states before and after it, and the segments of a conversation are
-put together afterwards.  An insertion belongs to the segment of the turn it stands before, so every segment but the last
+Turns are sorted over all tasks by conversation and place, so that a conversation of any length is cut into runs.  One of
+at most ``LONGEST`` turns that lies in one task is searched there at once; any other run is cut into segments of ``SEGMENT``
+turns, each is searched for every pair of states before and after it, and they are put together afterwards.  An insertion belongs to the segment of the turn it stands before, so every segment but the last
 ends with the edit of a turn, none of its paths is the beginning of another, and the least of each gives the least whole.
 """
 
+import sys
 from functools import lru_cache
 from hashlib import sha256
 
@@ -23,6 +23,8 @@ from pyspark.sql.window import Window
 from parcelry.llm.common import ready, settled
 
 SEGMENT = 64
+#: A conversation of up to so many turns is searched at once if it lies in one task.
+LONGEST = 512
 #: Costs of the edits, and of a truncated turn that stays.
 REROLE, DELETE, INSERT, CUT_OFF = 3, 4, 3, 3
 #: What counts as blank, and how a whole turn ends.
@@ -160,7 +162,7 @@ class Search:
 
 @lru_cache(maxsize=50_000)
 def whole(turns):
-    """Cost and edits of a conversation of one segment."""
+    """Cost and edits of a whole conversation."""
     return Search(turns, WHOLE, True).best(START)
 
 
@@ -171,6 +173,19 @@ def table(turns):
     return [x or (NO_WAY, "") for x in found + [Search(turns, WHOLE, True).best(p) for p in range(4)]]
 
 
+def chained(turns):
+    """The table of a run from those of its segments."""
+    tables = [table(turns[k : k + SEGMENT]) for k in range(0, len(turns), SEGMENT)]
+    whole = tables[0]
+    for t in tables[1:]:
+        # through each state in the middle; to each state behind, and to the end
+        after = [[t[4 * m + q] for m in range(4)] for q in range(4)] + [t[16:]]
+        best = lambda p, to: min((a[0] + b[0], a[1] + b[1]) for a, b in zip(whole[4 * p : 4 * p + 4], to))
+        whole = [best(p, after[q]) for p in range(4) for q in range(4)] + [best(p, after[4]) for p in range(4)]
+        whole = [(min(cost, NO_WAY), edits) for cost, edits in whole]
+    return whole
+
+
 def joined(tables):
     """Cost and edits of a conversation from the tables of its segments in order."""
     togo = [[cost for cost, _ in tables[-1][16:]]]
@@ -250,7 +265,7 @@ def runs_of(batches):
             cost, audit = whole(bytes(run.turns))
             out.append([run.conv_id, place, True, *run.facts(), cost, audit, None, None])
         else:
-            best = table(bytes(run.turns))
+            best = chained(bytes(run.turns))
             out.append([run.conv_id, place, False, *run.facts(), None, None, [c for c, _ in best], [a for _, a in best]])
         place += 1
 
@@ -259,7 +274,8 @@ def runs_of(batches):
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    # whether the run began in this task and in this segment
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 8 * LONGEST))
+    # whether the run began in this task and is not cut
     alone = False
     for batch in batches:
         for conv_id, turn, letter, fault in zip(*(c.to_pylist() for c in batch.columns)):
@@ -268,7 +284,7 @@ def runs_of(batches):
                     close(run, not alone)
                     alone = True
                 run = Run(conv_id)
-            elif len(run.turns) == SEGMENT:
+            elif len(run.turns) == LONGEST:
                 close(run, True)
                 alone, run = False, Run(conv_id)
             run.add(turn, letter, fault)
