@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from parcelry.llm.common import ready, settled, unique_join
 
-LIMIT, BAND = 256, 32
+LIMIT, BAND = 128, 16
 #: A forest of at most so many nodes is one component.
 WHOLE = 4096
 #: Ids that begin a shared conversation are the multiples of BLOCK, and up to SHARED - 1 of its turns are shared.
