@@ -24,6 +24,11 @@ def tokenizer():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(modulus):
+    """Whether a row is left out of learning; a row without an id is not."""
+    return F.coalesce(remainder("doc_id", modulus) == 0, F.lit(False)).alias("held_out")
+
+
 @register("op1_bpe")
 def op1_bpe(spark, folder):
     """Every document encoded and decoded again: number of tokens and digests of both."""
@@ -63,7 +68,7 @@ def op4_quality(spark, folder):
     """Every document's quality score and the decision at 0.3."""
     docs = table(spark, folder, "documents")
     scored = quality.score(docs, quality.train(docs, table(spark, folder, "labels"), holdout=5))
-    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+    return scored.select("doc_id", held_out(5), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
 @register("op5_language")
@@ -71,7 +76,7 @@ def op5_language(spark, folder):
     """Every document's language, learned from the others' labels."""
     docs = table(spark, folder, "documents")
     found = language.predict(docs, language.train(docs, holdout=5))
-    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(5), "lang_pred", "score")
 
 
 @register("op8_rules")
@@ -115,7 +120,7 @@ def op6_warc(spark, folder):
 def op3_mixing(spark, folder):
     """Every document's log10 probability by the base and by the mixing model."""
     scored = mixing.score(table(spark, folder, "documents"), holdout=10)
-    return scored.select("doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out(10), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @register("op12_pieces")

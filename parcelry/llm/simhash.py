@@ -1,10 +1,10 @@
 """Near duplicates by SimHash fingerprints, linked through a Gray-ordered hierarchical index.
 
 Fingerprints that differ in at most d bits agree on two of d + 2 bit blocks, so each distinct fingerprint is sent once for
-each pair of blocks.  Where a pair of blocks has many fingerprints they are ordered by Gray rank, which puts fingerprints
-that differ in few bits side by side; leaves of this order and the nodes above them keep which bits all members share, and
-two nodes whose shared bits differ in more than d places are dropped with all pairs below them.  Copies of a fingerprint
-take part once.  Links are joined to groups by star contractions, all as tables in the shared folder.
+each pair of blocks.  The fingerprints of every pair of blocks are ordered by Gray rank, which puts those that differ in few
+bits side by side; the order is halved down to leaves, every node keeps which bits all its members share, and two nodes
+whose shared bits differ in more than d places are dropped with all pairs below them.  Copies of a fingerprint take part
+once.  Links are joined to groups of fingerprints by star contractions, all as tables in the shared folder.
 """
 
 from itertools import combinations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from parcelry.llm.common import ready, settled, texts, unique_join
 
-LEAF = 16
+LEAF = 4
 #: Fingerprints that one task compares at once; more under one key are dealt out in pairs of parts.
 PART = 8192
 
@@ -36,16 +36,21 @@ def fingerprint(text, words=3, seed=42):
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def digest_of(text):
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+
+
 def fingerprints(docs, words=3, seed=42):
-    """``doc_id`` and ``fp`` (the 64 bits as a signed integer) of each document; a missing text has no words."""
+    """``doc_id``, ``fp`` (the 64 bits as a signed integer) and ``digest`` of each document; a missing text has no words."""
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, words, seed) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)], names=["doc_id", "fp", "digest"])
 
     ready(docs.sparkSession)
-    return texts(docs).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = texts(docs).select("doc_id", F.col("text").cast("binary").alias("text"), digest_of("text").alias("digest"))
+    return rows.mapInArrow(run, "doc_id long, fp long, digest binary")
 
 
 def gray_rank(fps):
@@ -85,44 +90,59 @@ class Groups:
             self.label = to[self.label]
 
 
-def linked(fps, distance):
-    """The group (as its first row) of each fingerprint under one key."""
-    order = np.argsort(gray_rank(fps), kind="stable")
-    n = len(order)
-    leaves = -(-n // LEAF)
-    padded = fps[np.resize(order, leaves * LEAF)]
-    padded[n:] = fps[order[-1]]
-    rows = np.concatenate([order, np.full(leaves * LEAF - n, order[-1])])
-    groups, tables = Groups(n), [(np.bitwise_and.reduceat(padded, np.arange(0, len(padded), LEAF)), np.bitwise_or.reduceat(padded, np.arange(0, len(padded), LEAF)))]
-    while len(tables[-1][0]) > 1:
-        both, some = tables[-1]
-        cut = np.arange(0, len(both), 2)
-        tables.append((np.bitwise_and.reduceat(both, cut), np.bitwise_or.reduceat(some, cut)))
-    a, b = np.zeros(1, int), np.zeros(1, int)
-    for level in range(len(tables) - 1, -1, -1):
-        both, some = tables[level]
-        apart = np.bitwise_count((both[a] & ~some[b]) | (both[b] & ~some[a]))
-        a, b = a[apart <= distance], b[apart <= distance]
-        if level:
-            size = len(tables[level - 1][0])
-            a, b = np.concatenate([2 * a, 2 * a, 2 * a + 1, 2 * a + 1]), np.concatenate([2 * b, 2 * b + 1, 2 * b, 2 * b + 1])
-            fits = (a <= b) & (b < size)
-            a, b = a[fits], b[fits]
-    near = np.argsort(b - a, kind="stable")
-    a, b, cells, places = a[near], b[near], padded.reshape(-1, LEAF), rows.reshape(-1, LEAF)
-    for k in range(0, len(a), 1024):
-        x, y = a[k : k + 1024], b[k : k + 1024]
-        labels = groups.label[places]
-        one = labels.min(axis=1) == labels.max(axis=1)
-        open_ = ~(one[x] & one[y] & (labels[x, 0] == labels[y, 0]))
+def linked(keys, fps, distance):
+    """The group (as its first row in the order of the index) of each fingerprint; rows are only linked under one key.
+
+    Returns the rows in the order of the index and the label of each, as places in that order.
+    """
+    order = np.lexsort((gray_rank(fps), keys))
+    keys, fps, n = keys[order], fps[order], len(order)
+    groups = Groups(n)
+    edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
+    start, stop = edges[:-1], edges[1:]
+    start, stop = start[stop - start > 1], stop[stop - start > 1]
+    if not len(start):
+        return order, groups.label
+    padded = np.r_[fps, fps[-1:]]
+    a = b = np.arange(len(start))
+    while True:
+        # bits that all, and bits that some members of each node have
+        cut = np.stack([start, stop], axis=1).ravel()
+        both, some = np.bitwise_and.reduceat(padded, cut)[::2], np.bitwise_or.reduceat(padded, cut)[::2]
+        near = np.bitwise_count((both[a] & ~some[b]) | (both[b] & ~some[a])) <= distance
+        a, b, size = a[near], b[near], stop - start
+        if not len(size) or size.max() <= LEAF:
+            break
+        split = size > LEAF
+        first = np.cumsum(1 + split) - (1 + split)
+        middle = np.where(split, (start + stop) // 2, stop)
+        grown = np.zeros((int((1 + split).sum()), 2), start.dtype)
+        grown[first] = np.stack([start, middle], axis=1)
+        grown[first[split] + 1] = np.stack([middle, stop], axis=1)[split]
+        pairs = [(first[a], first[b])]
+        for x, y in ((0, 1), (1, 0), (1, 1)):
+            fits = (split[a] | (x == 0)) & (split[b] | (y == 0)) & ~((a == b) & (x > y))
+            pairs.append((first[a[fits]] + x, first[b[fits]] + y))
+        a, b = np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
+        start, stop = grown.T
+    lag = np.argsort(b - a, kind="stable")
+    a, b, slot = a[lag], b[lag], np.arange(LEAF)
+    for k in range(0, len(a), 1 << 14):
+        x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+        # leaves whose members are all in one group have no link to add
+        low, high = (f.reduceat(np.r_[groups.label, 0], np.stack([start, stop], axis=1).ravel())[::2] for f in (np.minimum, np.maximum))
+        open_ = ~((low[x] == high[x]) & (low[y] == high[y]) & (low[x] == low[y]))
         x, y = x[open_], y[open_]
-        i, p, q = np.nonzero(np.bitwise_count(cells[x][:, :, None] ^ cells[y][:, None, :]) <= distance)
-        groups.merge(places[x[i], p], places[y[i], q])
-    return groups.label
+        p, q = start[x][:, None] + slot, start[y][:, None] + slot
+        i = np.flatnonzero(((p < stop[x][:, None])[:, :, None] & (q < stop[y][:, None])[:, None, :] & (p[:, :, None] < q[:, None, :])).ravel())
+        p, q = np.repeat(p.ravel(), LEAF)[i], np.repeat(q, LEAF, axis=0).ravel()[i]
+        close = np.bitwise_count(fps[p] ^ fps[q]) <= distance
+        groups.merge(p[close], q[close])
+    return order, groups.label
 
 
 def links(nodes, distance=3):
-    """Links (a, b), a > b, between the documents of ``nodes`` (fp, doc): enough to connect all within ``distance``."""
+    """Links (a, b), a > b, between the numbers ``doc`` of ``nodes`` (fp, doc): enough to connect all within ``distance``."""
     n_blocks = distance + 2
     cuts = [64 * i // n_blocks for i in range(n_blocks + 1)]
     masks = [sum(((1 << cuts[i + 1]) - (1 << cuts[i])) for i in pair) for pair in combinations(range(n_blocks), 2)]
@@ -136,23 +156,10 @@ def links(nodes, distance=3):
         keyed = split.select("fp", "doc", F.explode(F.when(F.col("parts").isNull(), F.array("key")).otherwise(pairs)).alias("key"))
 
     def groups(key, fp, doc):
-        """Links within a run of rows sorted by key."""
-        edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        size = np.diff(edges)
-        small = np.repeat(size <= LEAF, size)
-        out = []
-        for lag in range(1, LEAF):
-            i = np.flatnonzero((key[lag:] == key[:-lag]) & small[lag:])
-            if not len(i):
-                break
-            i = i[np.bitwise_count(fp[i] ^ fp[i + lag]) <= distance]
-            out.append((doc[i], doc[i + lag]))
-        for k in np.flatnonzero(size > LEAF):
-            s = slice(edges[k], edges[k + 1])
-            label = linked(fp[s], distance)
-            moved = label != np.arange(size[k])
-            out.append((doc[s][moved], doc[s][label[moved]]))
-        a, b = (np.concatenate([x[j] for x in out]) if out else np.empty(0, np.int64) for j in (0, 1))
+        """Links among the rows of some keys."""
+        order, label = linked(key, fp, distance)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        a, b = doc[order[moved]], doc[order[label[moved]]]
         differ = a != b
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)[differ]), pa.array(np.minimum(a, b)[differ])], names=["a", "b"])
 
@@ -195,15 +202,39 @@ def components(edges):
         now = settled(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "links")
 
 
+def grouped(docs, words=3, distance=3, seed=42):
+    """``doc_id``, ``fp``, ``digest`` of the text, and ``component``, the least fingerprint of the group, for each row."""
+    spark = ready(docs.sparkSession)
+    marked = settled(fingerprints(docs, words, seed), "fingerprints")
+    nodes = settled(marked.groupBy("fp").agg(F.count("*").alias("n_rows")), "nodes")
+    found = components(links(nodes.select("fp", F.col("fp").alias("doc")), distance))
+    placed = settled(nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "n_rows", F.coalesce("component", "fp").alias("component")), "placed")
+    return unique_join(marked, placed, "fp", ["component"])
+
+
 def near_duplicates(docs, words=3, distance=3, seed=42):
     """``doc_id``, ``fp`` and ``component_id``, the smallest id among the documents it is linked with, itself included.
 
     Two documents are linked if their fingerprints differ in at most ``distance`` bits. A text without words, a missing
-    one too, has fingerprint zero and is linked like any other; repeated rows stay; an empty table gives an empty table.
+    one too, has fingerprint zero and is linked like any other. Rows without an id link others and have the smallest id of
+    their group, or none if the group has none; rows of one id are grouped each by its own text, so one id can be in several
+    groups. Repeated rows stay; an empty table gives an empty table.
     """
-    spark = ready(docs.sparkSession)
-    marked = settled(fingerprints(docs, words, seed), "fingerprints")
-    nodes = settled(marked.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n_rows")), "nodes")
-    found = components(links(nodes.where("doc is not null"), distance))
-    placed = settled(nodes.join(found, nodes["doc"] == found["node"], "left").select("fp", "n_rows", F.coalesce("component", "doc").alias("component_id")), "placed")
-    return unique_join(marked, placed, "fp", ["component_id"]).select("doc_id", "fp", "component_id")
+    found = settled(grouped(docs, words, distance, seed), "grouped")
+    least = settled(found.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_rows")), "least")
+    return unique_join(found, least, "component", ["component_id"]).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs, words=3, distance=3, seed=42):
+    """The rows of ``docs`` that stay when one of each group of linked rows does: the smallest id's, then that with the smallest digest.
+
+    A row without an id stays only if its group has none with one; of repeated rows one stays.
+    """
+    found = settled(grouped(docs, words, distance, seed), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    kept = settled(found.groupBy("component").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__kept")), "kept")
+    rows = docs.withColumn("__own", digest_of("text"))
+    # rows of one id and one text are the only case in which a kept one has others beside it
+    if not found.groupBy("doc_id", "digest").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "__own"])
+    return rows.join(kept, (F.col("__own") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(docs.columns)

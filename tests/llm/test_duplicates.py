@@ -1,11 +1,12 @@
 """Passages and near duplicates, against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
 
-from parcelry.llm import hashing, repeats, shingles, simhash
+from parcelry.llm import hashing, repeats, simhash
 
 
 def brute_spans(rows, depth):
@@ -76,7 +77,33 @@ def clustered(n, seed):
 @pytest.mark.parametrize("seed", range(3))
 def test_index_groups(seed):
     fps = list(dict.fromkeys(clustered(300, seed)))
-    assert simhash.linked(np.array(fps, np.uint64), 3).tolist() == groups_of(fps, 3)
+    order, label = simhash.linked(np.zeros(300, int)[: len(fps)], np.array(fps, np.uint64), 3)
+    found = {}
+    for place, row in enumerate(order):
+        found.setdefault(label[place], []).append(int(row))
+    assert sorted(map(sorted, found.values())) == classes(groups_of(fps, 3))
+
+
+def classes(labels):
+    found = {}
+    for k, x in enumerate(labels):
+        found.setdefault(x, []).append(k)
+    return sorted(found.values())
+
+
+def test_index_keeps_keys_apart():
+    rnd = random.Random(4)
+    fps = clustered(400, 4)
+    keys = [rnd.choice([0, 1, 2, 3, 3, 3, 4 + k]) for k in range(400)]
+    order, label = simhash.linked(np.array(keys), np.array(fps, np.uint64), 3)
+    found = {}
+    for place, row in enumerate(order):
+        found.setdefault(label[place], []).append(int(row))
+    want = []
+    for key in set(keys):
+        own = [k for k in range(400) if keys[k] == key]
+        want.extend([own[i] for i in c] for c in classes(groups_of([fps[k] for k in own], 3)))
+    assert sorted(map(sorted, found.values())) == sorted(want)
 
 
 @pytest.mark.parametrize("part", [64, 8192])
@@ -117,36 +144,46 @@ def test_word_hashes_depend_on_the_word_only():
     assert a.hash[2] == a.hash[3] == b.hash[0] and a.hash[1] == b.hash[1] and a.first.tolist() == [0, 3, 3, 4]
 
 
-def shingles_of(text):
-    w = text.lower().split()
-    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
-
-
-@pytest.mark.parametrize("crowd, common", [(32, 64), (3, 5)])
-def test_near_copies_are_all_pairs_of_similarity_four_fifths(spark, docs, nothing, monkeypatch, crowd, common):
-    """Copies with a few words changed, below and above the bound, among texts that share a common opening."""
-    monkeypatch.setattr(shingles, "CROWD", crowd)
-    monkeypatch.setattr(shingles, "COMMON", common)
-    rnd = random.Random(7)
-    rows = []
-    for base in range(12):
-        words = ["a", "very", "common", "opening", "of", "each", "text"] + [f"w{rnd.randint(0, 10**6)}" for _ in range(90)]
-        for _ in range(10):
-            copy = list(words)
-            for _ in range(rnd.randint(0, 4)):
-                copy[rnd.randint(7, 96)] = f"x{rnd.randint(0, 10**6)}"
-            rows.append((len(rows), " ".join(copy)))
-    rows += [(500, ""), (501, None), (502, "one two"), (503, "One  two")]
-    sets = [shingles_of(t or "") for _, t in rows]
-    label = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if 5 * both >= 4 * len(sets[i] | sets[j]) and label[i] != label[j]:
-                label = [label[j] if x == label[i] else x for x in label]
-    wanted = {frozenset(rows[k][0] for k in range(len(rows)) if label[k] == x) for x in set(label)}
-    groups = {}
-    for r in shingles.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
-        groups.setdefault(r["component"], set()).add(r["doc_id"])
-    assert {frozenset(g) for g in groups.values()} == wanted
-    assert shingles.near_copies(docs).count() == docs.count() and shingles.near_copies(nothing).collect() == []
+def one_bit_texts():
+    """Texts of which each is within the distance of the next only."""
+    rnd = random.Random(2)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(400)]
+    out = []
+    for k in range(60):
+        out.append(" ".join(base))
+        base[rnd.randrange(400)] = f"v{k}"
+    return out
+
+
+@pytest.fixture(scope="module")
+def bridges(spark):
+    """Texts in a chain, some without an id, some ids repeated, some rows repeated."""
+    rnd = random.Random(11)
+    rows = [(None if k % 3 == 1 else rnd.choice([k, k, k % 7]), t) for k, t in enumerate(one_bit_texts())]
+    rows += [(None, ""), (None, None), (900, " "), (901, "alone in its group"), (None, "nobody is like this one"), *rows[:5]]
+    return rows
+
+
+def test_groups_over_texts_equal_brute_force(spark, bridges):
+    fps = [simhash.fingerprint((t or "").encode()) for _, t in bridges]
+    labels = groups_of(fps, 3)
+    want = []
+    for (i, _), fp, x in zip(bridges, fps, labels):
+        ids = [j for (j, _), y in zip(bridges, labels) if y == x and j is not None]
+        want.append((i, fp - (1 << 64) if fp >> 63 else fp, min(ids, default=None)))
+    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in bridges], "doc_id long, text string, component string, n_rows long").repartition(3)
+    got = [tuple(r) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert len(set(labels)) < len(bridges) - 10
+
+
+def test_one_row_of_each_group_stays(spark, bridges):
+    labels = groups_of([simhash.fingerprint((t or "").encode()) for _, t in bridges], 3)
+    best = {}
+    for (i, t), x in zip(bridges, labels):
+        key = (i is None, i or 0, hashlib.sha256((t or "").encode()).digest())
+        best[x] = min(best.get(x, (key, i, t)), (key, i, t), key=lambda r: r[0])
+    docs = spark.createDataFrame([(i, t, "k") for i, t in bridges], "doc_id long, text string, component string").repartition(3)
+    got = [(r.doc_id, r.text or "") for r in simhash.one_of_each(docs).collect()]
+    assert sorted(got, key=repr) == sorted(((i, t or "") for _, i, t in best.values()), key=repr)
+    assert simhash.one_of_each(docs.limit(0)).collect() == []
