@@ -4,7 +4,7 @@ Each stage takes what the one before kept, as a written table, and drops or chan
 
 1. ``rules``: documents that fail the quality rules go.
 2. ``classifier``: documents that the quality classifier scores under 0.3 go.
-3. ``near_duplicates``: of each group of links at Jaccard similarity 0.8 of five-word shingles, the document with the smallest id stays.
+3. ``near_duplicates``: of each group of documents whose SimHash fingerprints are linked, the one with the smallest id stays.
 4. ``repeats``: passages of 50 bytes or more that an earlier document has are cut out of the text.
 5. ``packing``: the rest is cut and packed into sequences of 1024 tokens.
 
@@ -14,7 +14,7 @@ A missing text counts as empty and fails the rules.  Labels that a stage learns
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from parcelry.llm import packing, quality, ranked, repeats, rules, shingles
+from parcelry.llm import packing, quality, ranked, repeats, rules, simhash
 from parcelry.llm.common import ready, settled, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,16 +32,8 @@ def keep_by_quality(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One row of each group stays, that with the smallest id; a row without an id stays only if its group has none with one."""
-    found = settled(shingles.near_copies(docs), "copies")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
-    firsts = found.groupBy("component").agg(F.min(first).alias("first"))
-    kept = settled(firsts.select(F.col("first.doc_id").alias("__id"), F.col("first.fp").alias("__fp")), "kept")
-    rows = shingles.with_fingerprint(docs.select(COLUMNS), "__own")
-    # rows of one id and one set of shingles are the only case that leaves more than one row
-    if not found.groupBy("doc_id", "fp").count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id", "__own"])
-    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__fp")), "left_semi").select(COLUMNS)
+    """Links at three of 64 bits over three-word shingles; one row of each group stays."""
+    return simhash.one_of_each(docs, words=3, distance=3, seed=42).select(COLUMNS)
 
 
 def cut_repeats(spark, docs, sf_dir):
@@ -57,7 +49,7 @@ def pack(spark, docs, sf_dir):
 
 STAGES = [("rules", keep_by_rules), ("classifier", keep_by_quality), ("near_duplicates", drop_near_duplicates), ("repeats", cut_repeats), ("packing", pack)]
 
-#: Shingle hashes, learned weights and sorted suffixes have no SQL form; tests hold the stages against brute force.
+#: Fingerprints, learned weights and sorted suffixes have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
