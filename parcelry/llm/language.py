@@ -13,11 +13,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from parcelry.llm.common import ready, remainder
+from parcelry.llm.common import ready, remainder, settled
 from parcelry.llm.hashing import Tokens, in_chunks, mixed
 
 SLOTS = 1 << 16
 RARE = 0.001
+#: Words whose scores a worker keeps, and languages that a model may have: it has a float for each slot of each.
+KNOWN = 1 << 17
+LANGUAGES = 512
 SWITCH = 8.0
 
 #: First code points of the ranges of scripts, in Unicode's order. Others go with the range before them.
@@ -46,6 +49,44 @@ def scripts_of(tokens):
     return found
 
 
+class Some:
+    """Some of the words of ``tokens``, by their places."""
+
+    def __init__(self, tokens, places):
+        self.data, self.start, self.stop, self.hash = tokens.data, tokens.start[places], tokens.stop[places], tokens.hash[places]
+
+
+def distinct(tokens):
+    """One of each distinct word, and for every word the place of its like among them."""
+    _, first, like = np.unique(tokens.hash, return_index=True, return_inverse=True)
+    return Some(tokens, first), like
+
+
+class Known:
+    """What was found for the words met lately, by their hashes; at most about ``size`` of them."""
+
+    def __init__(self, width, size=KNOWN):
+        self.size, self.hash, self.found = size, np.empty(0, np.uint64), np.empty((0, width), np.float32)
+
+    def get(self, words, make):
+        """``make`` of each of the distinct ``words``, sorted by hash."""
+        at = np.searchsorted(self.hash, words.hash)
+        seen = np.zeros(len(at), bool)
+        inside = at < len(self.hash)
+        seen[inside] = self.hash[at[inside]] == words.hash[inside]
+        out = np.empty((len(at), self.found.shape[1]), np.float32)
+        out[seen] = self.found[at[seen]]
+        new = np.flatnonzero(~seen)
+        if len(new):
+            out[new] = make(Some(words, new))
+            if len(self.hash) + len(new) > self.size:
+                self.hash, self.found = words.hash, out
+            else:
+                # both are sorted, so the new ones are put in between
+                self.hash, self.found = np.insert(self.hash, at[new], words.hash[new]), np.insert(self.found, at[new], out[new], axis=0)
+        return out
+
+
 def grams(tokens, slots=SLOTS):
     """Hashed n-grams of 1 to 4 bytes of each word with a blank on either side: (slots, word) of each."""
     n = len(tokens.data)
@@ -121,7 +162,8 @@ def has_letter(text):
 def train(docs, holdout=5, slots=SLOTS):
     """A model from all documents with a text and a language whose id's crc32 modulo ``holdout`` is not 0.
 
-    Counts are summed by language and slot over all of them; what reaches the driver is bounded by both numbers.
+    Counts are summed by language and slot over all of them; what reaches the driver is bounded by both numbers, as more
+    than LANGUAGES languages are an error.
     """
     ready(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(remainder("doc_id", holdout) != 0, F.lit(True))).select("lang", F.col("text").cast("binary").alias("text"))
@@ -136,14 +178,19 @@ def train(docs, holdout=5, slots=SLOTS):
                 for s in in_chunks(mine):
                     tokens = Tokens(mine[s])
                     if len(tokens.start):
-                        held[0][:] += np.bincount(grams(tokens, slots)[0], minlength=slots)
-                        held[1][:] += np.bincount(scripts_of(tokens), minlength=len(NAMES))
+                        words, like = distinct(tokens)
+                        times = np.bincount(like)
+                        slot, word = grams(words, slots)
+                        held[0][:] += np.bincount(slot, times[word], minlength=slots).astype(np.int64)
+                        held[1][:] += np.bincount(scripts_of(words), times, minlength=len(NAMES)).astype(np.int64)
         for name, (gram, script) in sums.items():
             n = np.r_[gram, script]
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "slot", "n"])
 
-    sums = rows.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    sums = settled(rows.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")), "grams")
+    if sums.select("lang").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     vectors = sums.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("at")).toArrow()
     names = sorted(vectors.column("lang").to_pylist())
     full = np.zeros((len(names), slots + len(NAMES)))
@@ -153,12 +200,14 @@ def train(docs, holdout=5, slots=SLOTS):
     return Model(names, full[:, :slots], full[:, slots:])
 
 
-def label_spans(texts, model, penalty=SWITCH):
-    """For a list of texts (bytes): tokens and the label of each word."""
+def label_spans(texts, model, penalty=SWITCH, known=None):
+    """For a list of texts (bytes): tokens and the label of each word. Each distinct word is scored once."""
     tokens = Tokens(texts)
     if not len(tokens.start):
         return tokens, np.empty(0, np.int64)
-    return tokens, viterbi(model.words(tokens), tokens.first, penalty)
+    words, like = distinct(tokens)
+    scores = (known or Known(len(model.languages))).get(words, model.words)
+    return tokens, viterbi(scores[like], tokens.first, penalty)
 
 
 def predict(docs, model):
@@ -170,11 +219,12 @@ def predict(docs, model):
     shared = ready(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches):
+        known = Known(len(shared.value.languages))
         for batch in batches:
             model, data = shared.value, batch.column(1).to_pylist()
             langs, scores, spans = ["und"] * len(data), [0.0] * len(data), [[] for _ in data]
             for s in in_chunks([t or b"" for t in data]) if model.languages else ():
-                tokens, label = label_spans([t or b"" for t in data[s]], model)
+                tokens, label = label_spans([t or b"" for t in data[s]], model, known=known)
                 size = (tokens.stop - tokens.start).astype(float)
                 weight = np.bincount(tokens.text * len(model.languages) + label, size, (s.stop - s.start) * len(model.languages)).reshape(-1, len(model.languages))
                 letters = np.bincount(tokens.text, minlength=s.stop - s.start)
