@@ -1,8 +1,10 @@
 from pyspark.sql import functions as F
 
 from catalogue.explore import METRICS, box_sql, metric_row, rounded
-from catalogue.registry import homes, places, register, table
+from catalogue.registry import HOMES, homes, places, register, table
+from parcelry.functions import scalar as S
 from parcelry.operators import explore as X, regression as M
+from parcelry.operators.prep import OneHotEncoding
 from parcelry.operators.reshape import id_unit, id_unit_sql, train_test_split, with_fold
 from parcelry.plans import features as feature_plan, scoring
 
@@ -190,3 +192,65 @@ def m13(spark, folder):
     """Spread of the predicted price of one line over 100 refits on resampled rows."""
     fits = M.bootstrap_linear(lines(spark, folder), ["l_orderkey", "l_linenumber", "l_partkey"], ["l_quantity", "l_discount"], "y")
     return M.prediction_interval(fits, [20.0, 0.05])
+
+
+# --- linear fits on all columns of the listing table, with its one-hot columns ---
+
+MEASURED = ["area_m2", "bedrooms", "bathrooms", "floors"]
+PENALTY = 25.0
+
+
+def all_columns(spark, folder):
+    """Priced listings as numbers: measures with gaps as zero, their flags, the frontage, and a column for each region and nation."""
+    ward, province = S.ward_and_province("location")
+    rows = homes(spark, folder).where("price_million_vnd is not null").withColumns({"ward": ward, "province": province})
+    rows = rows.select(
+        id_unit("key").alias("unit"),
+        F.log1p("price_million_vnd").alias("y"),
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in MEASURED],
+        *[F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in MEASURED],
+        F.coalesce(F.col("frontage"), F.lit(False)).cast("double").alias("frontage"),
+        "province",
+        "ward",
+    )
+    rows = with_fold(OneHotEncoding(["province", "ward"]).fit_transform(rows), F.col("unit")).drop("unit")
+    return rows, [c for c in rows.columns if c not in ("y", "fold")]
+
+
+SOLVED = f"""{HOMES.replace("WITH homes", "WITH RECURSIVE homes")}, t AS (SELECT *, CAST(floor({id_unit_sql('key')} * 5) AS INTEGER) AS fold FROM homes WHERE price_million_vnd IS NOT NULL),
+ c AS (SELECT list(DISTINCT ward ORDER BY ward) AS w, list(DISTINCT province ORDER BY province) AS p FROM t),
+ d AS (SELECT fold, list_concat([1.0::DOUBLE, {", ".join(f"coalesce({m}, 0)::DOUBLE" for m in MEASURED)}, {", ".join(f"({m} IS NULL)::INT::DOUBLE" for m in MEASURED)}, coalesce(frontage, false)::INT::DOUBLE],
+  list_transform(c.p, lambda v: (v = province)::INT::DOUBLE), list_transform(c.w, lambda v: (v = ward)::INT::DOUBLE), [ln(1 + price_million_vnd)]) AS z FROM t, c),
+ n AS (SELECT max(len(z)) AS n FROM d), a AS (SELECT unnest(range(1, n + 1)) AS i FROM n),
+ g AS (SELECT fold, a.i AS i, b.i AS j, sum(z[a.i] * z[b.i]) AS s FROM d, a, a AS b GROUP BY ALL),
+ {{groups}},
+ m AS (SELECT k, list(r ORDER BY i) AS m FROM (SELECT k, i, list(s + CASE WHEN i = j AND i > 1 AND i < n THEN {PENALTY} ELSE 0 END ORDER BY j) AS r FROM h, n GROUP BY k, i) GROUP BY k),
+ e AS (SELECT 1 AS step, k, m FROM m UNION ALL SELECT step + 1, k, list_transform(range(1, len(m) + 1), lambda i: CASE WHEN i = step THEN list_transform(m[step], lambda v: v / m[step][step])
+  ELSE list_transform(range(1, len(m) + 1), lambda j: m[i][j] - m[i][step] * m[step][j] / m[step][step]) END) FROM e WHERE step < len(m)),
+ f AS (SELECT k, list_transform(m, lambda r: r[len(m)]) AS w FROM e WHERE step = len(m))"""
+
+
+@register(
+    "m2_ridge_all_columns",
+    SOLVED.format(groups="h AS (SELECT 0 AS k, i, j, sum(s) AS s FROM g GROUP BY i, j)")
+    + f"""SELECT unnest(list_concat({MEASURED + [f"{m}_missing" for m in MEASURED] + ["frontage"]}, list_transform(p, lambda v: 'province_' || v), list_transform(w1, lambda v: 'ward_' || v))) AS feature,
+ round(unnest(f.w[2:len(f.w) - 1]), 6) AS coefficient FROM f, (SELECT p, w AS w1 FROM c)""",
+)
+def m2_all(spark, folder):
+    """Closed-form ridge of the log price on all columns, from one pass of matrix products."""
+    rows, features = all_columns(spark, folder)
+    model = M.ClosedRidge(PENALTY).fit(rows, features, "y")
+    found = spark.createDataFrame(list(model.coefficients.items()), "feature string, coefficient double")
+    return found.select("feature", F.round("coefficient", 6).alias("coefficient"))
+
+
+@register(
+    "m9_cross_validated_ridge",
+    SOLVED.format(groups="h AS (SELECT k, i, j, sum(s) AS s FROM g, (SELECT DISTINCT fold AS k FROM g) WHERE fold <> k GROUP BY k, i, j)")
+    + """SELECT fold, max(s) FILTER (i = 1 AND j = 1)::BIGINT AS n, round(sqrt(sum(s * CASE WHEN i = n.n THEN 1 ELSE -w[i] END * CASE WHEN j = n.n THEN 1 ELSE -w[j] END) / max(s) FILTER (i = 1 AND j = 1)), 6) AS rmse
+ FROM g JOIN f ON fold = k, n GROUP BY fold""",
+)
+def m9_ridge(spark, folder):
+    """Held-out error of the same ridge for each of five folds: all fits and errors come from one pass."""
+    rows, features = all_columns(spark, folder)
+    return rounded(M.cross_validate_linear(rows, features, "y", PENALTY, on_sum=True))

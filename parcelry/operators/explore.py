@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import cut
+from parcelry.operators.gram import correlation_matrix
 from parcelry.operators.lookup import lookup
 from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_quantiles, long_form
 from parcelry.operators.reshape import column_rows
@@ -104,16 +105,11 @@ def sorted_values(df, column):
 
 
 def correlations(df, columns=None):
-    """Pearson r of every ordered pair of columns, over the rows where both are present."""
+    """Pearson r of every ordered pair of columns, over the rows where both are present; missing where either does not vary."""
     columns = columns or numeric_columns(df, NON_MEASURES)
-    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    stats = df.agg(*[F.corr(values[a], values[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"r{i}").alias("r")))
-    return stats.select(F.inline(F.array(*cells)))
+    r = correlation_matrix(df, columns)
+    cells = [(a, b, None if math.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "col_a string, col_b string, r double")
 
 
 def regression_line(df, x, y, keys=()):

@@ -24,7 +24,9 @@ from pyspark.ml.regression import (
 from pyspark.sql import functions as F
 
 from parcelry.operators.explore import error_metrics
+from parcelry.operators.gram import product_matrices
 from parcelry.operators.reshape import bootstrap_weights
+from parcelry.session import written
 
 FEATURES = "features"
 
@@ -178,7 +180,8 @@ def evaluate(model, df, label, name):
 
 
 def cross_validate(make, df, label, fold="fold", folds=5):
-    """RMSE, MAE and R² per held-out fold."""
+    """RMSE, MAE and R² per held-out fold. Every fit reads the rows again, so they are stored first."""
+    df = written(df, "folds")
     parts = []
     for k in range(folds):
         model = make().fit(df.filter(F.col(fold) != k), label)
@@ -189,6 +192,21 @@ def cross_validate(make, df, label, fold="fold", folds=5):
     return error_metrics(scored, label, "prediction", fold)
 
 
+def cross_validate_linear(df, features, label, alpha=0.0, l1_ratio=0.0, fold="fold", on_sum=False):
+    """(fold, n, rmse) of linear fits on the other folds: one pass for all folds, errors from the same sums.
+
+    ``on_sum``: the penalty is stated against the sum of squared errors, as for ``ClosedRidge``, not against their mean.
+    """
+    sums = product_sums(df, features, label, [fold])
+    total = sum(sums.values())
+    rows = []
+    for k, m in sorted(sums.items()):
+        rest = total - m
+        error = squared_error(m, *linear_from_sums(rest, alpha / rest[0, 0] if on_sum else alpha, l1_ratio))
+        rows.append((int(k), int(round(m[0, 0])), math.sqrt(max(error, 0.0))))
+    return df.sparkSession.createDataFrame(rows, "fold int, n long, rmse double")
+
+
 def spread(scores, metric="rmse"):
     """Mean and population deviation of a metric over the folds."""
     return scores.agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
@@ -244,13 +262,20 @@ def load_model(spark, path):
 # --- many linear fits from one aggregation -----------------------------------
 
 
-def product_sums(df, features, label, by=(), weight=None):
-    """{group: matrix of sums of products of (1, features, label)}, one aggregation.
+#: Up to so many columns their products are plain expressions; more go to matrix products. The sums are the same.
+NARROW = 8
 
-    The groups are folds or replicates: a parameter of the caller, not data. One
-    sum per pair of columns suits a few dozen features; wide vectors go to MLlib.
+
+def product_sums(df, features, label, by=(), weight=None, groups=128):
+    """{group: matrix of sums of products of (1, features, label)}, one aggregation over the rows without a missing cell.
+
+    The groups are folds or replicates: a parameter of the caller, not data.
     """
-    z = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label).cast("double")]
+    columns = [*features, label]
+    if len(columns) > NARROW:
+        return product_matrices(df, columns, by[0] if by else None, weight, groups)
+    df = df.dropna(subset=[f"`{c}`" for c in columns])
+    z = [F.lit(1.0), *[F.col(f"`{c}`").cast("double") for c in columns]]
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     size = len(z)
     sums = [F.sum(w * z[a] * z[b]).alias(f"s{a}_{b}") for a in range(size) for b in range(a, size)]
@@ -261,21 +286,42 @@ def product_sums(df, features, label, by=(), weight=None):
     return found
 
 
+class ClosedRidge:
+    """Ridge on any number of columns, solved from their sums of products in one pass over the rows.
+
+    Squared error sum plus alpha times the squared coefficients; the intercept is free.
+    """
+
+    def __init__(self, alpha=1.0):
+        self.alpha = alpha
+
+    def fit(self, df, features, label):
+        m = product_sums(df, features, label)[None]
+        self.intercept, weights = linear_from_sums(m, self.alpha / m[0, 0])
+        self.coefficients = dict(zip(features, map(float, weights)))
+        return self
+
+    def transform(self, df, name="prediction"):
+        return df.withColumn(name, linear_expression(float(self.intercept), self.coefficients))
+
+
 def _centred(m):
     n = m[0, 0]
     mean = m[0, 1:] / n
     return n, mean, m[1:, 1:] / n - np.outer(mean, mean)
 
 
-def linear_from_sums(m, alpha=0.0, l1_ratio=0.0, rounds=10_000, tolerance=1e-12):
+def linear_from_sums(m, alpha=0.0, l1_ratio=0.0, rounds=10_000, tolerance=1e-12, start=None):
     """(intercept, coefficients) of the elastic net with penalty alpha on the mean squared error."""
     n, mean, c = _centred(m)
     xx, xy = c[:-1, :-1], c[:-1, -1]
     l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
-    if l1 == 0:
+    if l1 == 0 and l2 > 0:
+        w = np.linalg.solve(xx + l2 * np.eye(len(xy)), xy)
+    elif l1 == 0:
         w = np.linalg.lstsq(xx + l2 * np.eye(len(xy)), xy, rcond=None)[0]
     else:
-        w = np.zeros(len(xy))
+        w = np.zeros(len(xy)) if start is None else start.copy()
         for _ in range(rounds):
             largest = 0.0
             for j in range(len(w)):
@@ -306,8 +352,13 @@ def elastic_net_path(df, features, label, fold="fold", l1_ratios=L1_RATIOS, alph
     total = sum(sums.values())
     scores = []
     for ratio in l1_ratios:
-        for alpha in alphas:
-            errors = [squared_error(m, *linear_from_sums(total - m, alpha, ratio)) for m in sums.values()]
+        # from the strongest penalty on, each fit starts where the one before ended
+        last = dict.fromkeys(sums)
+        for alpha in sorted(alphas, reverse=True):
+            errors = []
+            for fold, m in sums.items():
+                intercept, last[fold] = linear_from_sums(total - m, alpha, ratio, start=last[fold])
+                errors.append(squared_error(m, intercept, last[fold]))
             scores.append((float(ratio), float(alpha), float(np.mean(errors))))
     scores.sort(key=lambda s: s[2])
     return scores, total
@@ -331,7 +382,11 @@ class ElasticNetSearch:
 
 
 def linear_expression(intercept, coefficients):
-    return sum((F.col(c).cast("double") * F.lit(w) for c, w in coefficients.items()), F.lit(intercept))
+    """Terms are added in pairs, so that the expression stays shallow for many columns."""
+    terms = [F.lit(intercept), *[F.col(f"`{c}`").cast("double") * F.lit(w) for c, w in coefficients.items()]]
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) // 2 * 2 :]
+    return terms[0]
 
 
 def bootstrap_linear(df, ident, features, label, replicates=100, seed=42, alpha=0.0, l1_ratio=0.0):

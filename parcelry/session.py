@@ -1,5 +1,6 @@
 """Session settings and the shared folder for intermediate tables."""
 
+import os
 import tempfile
 import uuid
 
@@ -64,3 +65,13 @@ def written(df, label):
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def share_package(spark):
+    """Let Python workers that start from now on import this package."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    path = environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(x for x in (path, root) if x)
+    return spark
