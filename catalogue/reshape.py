@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from catalogue.registry import register, table
-from parcelry.operators import reshape as R
+from parcelry.operators import ranks, reshape as R
 from parcelry.operators.quantiles import group_median
 from parcelry.operators.regression import bootstrap_line_band
 
@@ -80,3 +80,25 @@ def w9(spark, folder):
 def w4_by_id(spark, folder):
     """The sample by plain arithmetic on whole-number ids."""
     return table(spark, folder, "orders").select("o_orderkey", "o_totalprice").filter(R.id_unit("o_orderkey") < 0.05)
+
+
+RANKED = f"r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY {UNIT}, o_orderkey) AS place, count(*) OVER () AS n FROM orders)"
+
+
+@register("w4_exact_sample", f"WITH {RANKED} SELECT o_orderkey, o_totalprice FROM r WHERE place <= round_even(0.05 * n, 0)")
+def w4_exact(spark, folder):
+    """Exactly a twentieth of the orders."""
+    return ranks.exact_sample(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), R.id_unit("o_orderkey"), "o_orderkey", 0.05)
+
+
+@register("w5_exact_split", f"WITH {RANKED} SELECT o_orderkey, o_totalprice, CASE WHEN place <= ceil(n / 5) THEN 'test' ELSE 'train' END AS part FROM r")
+def w5_exact(spark, folder):
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    train, test = ranks.exact_split(rows, R.id_unit("o_orderkey"), "o_orderkey")
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+
+
+@register("w6_exact_folds", f"WITH {RANKED}, f AS (SELECT *, n // 5 AS size, n % 5 AS more FROM r) SELECT o_orderkey, CAST(CASE WHEN place <= more * (size + 1) THEN (place - 1) // (size + 1) ELSE more + (place - 1 - more * (size + 1)) // size END AS INTEGER) AS fold FROM f")
+def w6_exact(spark, folder):
+    """Five folds whose sizes differ by one row at most."""
+    return ranks.exact_folds(table(spark, folder, "orders").select("o_orderkey"), R.id_unit("o_orderkey"), "o_orderkey")
