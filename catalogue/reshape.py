@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from catalogue.registry import register, table
-from parcelry.operators import ranks, reshape as R
+from parcelry.operators import ranks, resample, reshape as R
 from parcelry.operators.quantiles import group_median
 from parcelry.operators.regression import bootstrap_line_band
 
@@ -102,3 +102,10 @@ def w5_exact(spark, folder):
 def w6_exact(spark, folder):
     """Five folds whose sizes differ by one row at most."""
     return ranks.exact_folds(table(spark, folder, "orders").select("o_orderkey"), R.id_unit("o_orderkey"), "o_orderkey")
+
+
+@register("w7_resample_sizes", "SELECT CAST(r AS INTEGER) AS replicate, n FROM (SELECT unnest(range(20)) AS r), (SELECT count(*) AS n FROM orders)")
+def w7_sizes(spark, folder):
+    """Draws of each of 20 resamples of the orders: as many as there are orders."""
+    drawn = resample.resample(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), 20)
+    return drawn.groupBy("replicate").agg(F.sum("weight").alias("n"))

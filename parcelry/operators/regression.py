@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from parcelry.operators.explore import error_metrics
 from parcelry.operators.gram import product_matrices
-from parcelry.operators.reshape import bootstrap_weights
+from parcelry.operators.resample import resampled_products
 from parcelry.session import written
 
 FEATURES = "features"
@@ -390,9 +390,11 @@ def linear_expression(intercept, coefficients):
 
 
 def bootstrap_linear(df, ident, features, label, replicates=100, seed=42, alpha=0.0, l1_ratio=0.0):
-    """(replicate, intercept, coefficients) of a linear fit on each resample of the rows."""
-    drawn = bootstrap_weights(df.select(*dict.fromkeys([*([ident] if isinstance(ident, str) else ident), *features, label])), ident, replicates, seed)
-    sums = product_sums(drawn, features, label, ["replicate"], "weight")
+    """(replicate, intercept, coefficients) of a linear fit on each resample of n draws from the n rows without a missing cell.
+
+    ``ident`` is accepted for compatibility: rows of equal features and label stand for each other.
+    """
+    sums = resampled_products(df, [*features, label], replicates, seed)
     fits = [(r, *linear_from_sums(m, alpha, l1_ratio)) for r, m in sorted(sums.items())]
     rows = [(int(r), float(b), [float(x) for x in w]) for r, b, w in fits]
     return df.sparkSession.createDataFrame(rows, "replicate int, intercept double, coefficients array<double>")
