@@ -62,3 +62,34 @@ def test_fitted_steps_on_a_stream_equal_the_batch(spark, tmp_path):
     S.run_available(S.transform_stream(rows, steps, sink, log))
     order = ["id", "v", "t"]
     assert spark.read.parquet(sink).orderBy(*order).collect() == steps.transform(batch).orderBy(*order).collect()
+
+
+def test_late_repeats_over_many_batches_read_only_their_buckets(spark, tmp_path):
+    folder, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [range(0, 400), range(300, 700), range(0, 30), [5, 5, 1000, None, 640], [1000, 2000]]
+    for k, ids in enumerate(batches):
+        rows = [(None if i is None else f"id{i}", k) for i in ids]
+        spark.createDataFrame(rows, "id string, n int").coalesce(1).write.mode("append").parquet(folder)
+        S.run_available(S.ingest_new(S.read_stream(spark, folder, "id string, n int"), sink, str(tmp_path / "progress"), buckets=64))
+    got = sorted(r.id for r in spark.read.parquet(sink).select("id").collect())
+    assert got == sorted({f"id{i}" for ids in batches for i in ids if i is not None})
+    store = S.SeenIds(spark, sink + ".seen", "id", spark.read.parquet(sink).schema["id"].dataType, 64)
+    assert spark.read.parquet(sink + ".seen/ids").count() == len(got)
+    asked = spark.createDataFrame([("id640",), ("new",)], "id string").withColumn("bucket", store.bucket(F.col("id")))
+    assert [r.id for r in store.known(asked, 99).collect()] == ["id640"]
+    # the ids of one bucket are read, and none of a bucket whose filter knows no asked id
+    home = asked.where("id = 'id640'").first()["bucket"]
+    read = store.read("ids", [home], 99)
+    assert read.count() < 40 and all(f"/bucket={home}/" in f for f in read.inputFiles()) or read.select("bucket").distinct().count() == 1
+    assert store.suspects(asked.where("id = 'new'"), 99).count() <= 1
+    assert store.known(asked, 0) is None or store.known(asked, 0).count() == 0
+
+
+def test_a_batch_that_runs_again_leaves_one_copy_and_old_sinks_get_a_store(spark, tmp_path):
+    folder, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("a", 1), ("b", 1)], "id string, n int").write.parquet(f"{sink}/batch=-7")
+    spark.createDataFrame([("b", 2), ("c", 2)], "id string, n int").write.parquet(folder)
+    for again in ("first", "second"):
+        # another progress folder: the same files come as batch 0 once more
+        S.run_available(S.ingest_new(S.read_stream(spark, folder, "id string, n int"), sink, str(tmp_path / again)))
+        assert sorted((r.id, r.n) for r in spark.read.parquet(sink).collect()) == [("a", 1), ("b", 1), ("c", 2)]
