@@ -17,10 +17,12 @@ LONG_TYPES = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 def collect_bounded(table, max_rows=MAX_ROWS, max_bytes=MAX_BYTES):
     """Rows of ``table`` if it stays within both limits, else None.
 
-    At most ``max_rows + 1`` rows reach the driver. Where cells can be long, Spark sums their bytes before any is collected.
+    At most ``max_rows + 1`` rows reach the driver. Where cells can be long, Spark sums their bytes before any is collected;
+    for that the rows are stored, so that the table is computed once.
     """
     first = table.limit(max_rows + 1)
     if any(isinstance(f.dataType, LONG_TYPES) for f in table.schema.fields):
+        first = written(first, "bounded")
         size = first.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
         if size > max_bytes:
             return None

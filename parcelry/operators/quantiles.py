@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Window, functions as F
 
 from parcelry.operators.lookup import collect_bounded
+from parcelry.session import written
 
 ACCURACY = 10_000
 # Groups of at most this many rows are small enough for the map ``percentile`` keeps.
@@ -43,17 +44,34 @@ def group_quantiles(df, keys, value, probs, accuracy=ACCURACY, direct_rows=DIREC
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
     rows = df.select(*keys, clean_double(value).alias("__v")).dropna()
-    if not keys or not direct_rows:
-        return _narrowed(rows, keys, probs, accuracy)
-    sizes = rows.groupBy(*keys).agg(F.count("__v").alias("__n"))
-    big = collect_bounded(sizes.filter(F.col("__n") > direct_rows))
-    if big == []:
+    if not keys:
+        return _narrowed(rows, keys, probs, rows.agg(*_sketch(probs, accuracy)))
+    # read by the sketch and by the passes that follow it
+    rows = written(rows, "values")
+    sketches = rows.groupBy(*keys).agg(*_sketch(probs, accuracy))
+    known = collect_bounded(sketches)
+    if known is None:
+        return _narrowed(rows, keys, probs, written(sketches, "sketches"))
+    spark, schema = df.sparkSession, sketches.schema
+    large = [r for r in known if r["__n"] > direct_rows]
+    if not large:
         return _direct(rows, keys, probs)
-    if big is None:
-        return _narrowed(rows, keys, probs, accuracy)
-    big = F.broadcast(df.sparkSession.createDataFrame(big, sizes.schema).drop("__n"))
-    large = _narrowed(rows.join(big, keys, "left_semi"), keys, probs, accuracy)
-    return large.unionByName(_direct(rows.join(big, keys, "left_anti"), keys, probs))
+    brackets = F.broadcast(spark.createDataFrame(large, schema))
+    if len(large) == len(known):
+        return _narrowed(rows, keys, probs, brackets)
+    return _narrowed(rows, keys, probs, brackets).unionByName(_direct(rows.join(brackets.select(*keys), keys, "left_anti"), keys, probs))
+
+
+def _inner(probs):
+    return sorted({p for p in probs if 0.0 < p < 1.0})
+
+
+def _sketch(probs, accuracy, value="__v"):
+    """Count and brackets of a column: ``__n`` and ``__b``, values a little below and then a little above each quantile."""
+    inner, width = _inner(probs), MARGIN / accuracy
+    ends = [max(p - width, 0.0) for p in inner] + [min(p + width, 1.0) for p in inner]
+    found = F.percentile_approx(value, ends, accuracy) if inner else F.lit(None).cast("array<double>")
+    return [F.count(value).alias("__n"), found.alias("__b")]
 
 
 def _direct(rows, keys, probs):
@@ -61,20 +79,8 @@ def _direct(rows, keys, probs):
     return rows.groupBy(*keys).agg(F.count("__v").alias("n"), q.alias("q"))
 
 
-def _narrowed(rows, keys, probs, accuracy):
-    inner = sorted({p for p in probs if 0.0 < p < 1.0})
-    width = MARGIN / accuracy
-    low = [max(p - width, 0.0) for p in inner]
-    high = [min(p + width, 1.0) for p in inner]
-
-    sketch = [F.count("__v").alias("__n")]
-    if inner:
-        sketch.append(F.percentile_approx("__v", low + high, accuracy).alias("__b"))
-    brackets = rows.groupBy(*keys).agg(*sketch)
-
-    known = collect_bounded(brackets)
-    if known is not None:
-        brackets = F.broadcast(rows.sparkSession.createDataFrame(known, brackets.schema))
+def _narrowed(rows, keys, probs, brackets):
+    inner = _inner(probs)
     if keys:
         marked = rows.join(brackets, keys)
     else:
@@ -149,7 +155,30 @@ def long_form(df, columns, name="column", value="value"):
 
 
 def column_quantiles(df, columns, probs, accuracy=ACCURACY):
-    """{column: [quantile, ...]} for all columns in one pass; NaN where a column is empty."""
-    found = group_quantiles(long_form(df, columns), ["column"], "value", probs, accuracy, direct_rows=0)
-    by_column = {row["column"]: list(row["q"]) for row in found.collect()}
-    return {c: by_column.get(c, [math.nan] * len(probs)) for c in columns}
+    """{column: [quantile, ...]} for all columns: one aggregation for all brackets, one pass for the values inside; NaN where a column is empty."""
+    return quantiles_within(df, columns, probs, column_sketches(df, columns, probs, accuracy)[0])
+
+
+def column_sketches(df, columns, probs, accuracy=ACCURACY, extra=()):
+    """(brackets of all columns, row of ``extra`` aggregates), from one aggregation over the rows as they are."""
+    probs = [float(p) for p in probs]
+    if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
+        raise ValueError("probabilities must lie in [0, 1]")
+    parts = []
+    for k, c in enumerate(columns):
+        count, ends = _sketch(probs, accuracy, clean_double(F.col(f"`{c}`")))
+        parts += [count.alias(f"n{k}"), ends.alias(f"b{k}")]
+    row = df.agg(*parts, *extra).first()
+    return {c: (row[f"n{k}"], list(row[f"b{k}"] or [])) for k, c in enumerate(columns)}, row
+
+
+def quantiles_within(df, columns, probs, sketches):
+    """Exact quantiles from the brackets of ``column_sketches``."""
+    probs = [float(p) for p in probs]
+    rows = [(c, n, b) for c, (n, b) in sketches.items() if n]
+    found = {}
+    if rows:
+        brackets = F.broadcast(df.sparkSession.createDataFrame(rows, "column string, __n long, __b array<double>"))
+        cells = long_form(df, columns).withColumnRenamed("value", "__v")
+        found = {r["column"]: list(r["q"]) for r in _narrowed(cells, ["column"], probs, brackets).collect()}
+    return {c: found.get(c, [math.nan] * len(probs)) for c in columns}
