@@ -195,6 +195,30 @@ def f13(spark, folder):
     return prep.MICEImputation(MEASURES, max_iter=5, random_state=42, n_nearest_features=5).fit_transform(rows)
 
 
+def bayes_sql(name, x, y, where):
+    """CTEs that fit y on x by Bayesian ridge: ``name``_w has slope and intercept."""
+    return f""" {name}_m AS (SELECT count(*)::DOUBLE AS n, avg({x}) AS mx, avg({y}) AS my, var_pop({x}) * count(*) AS xx, covar_pop({x}, {y}) * count(*) AS xy, var_pop({y}) * count(*) AS yy {where}),
+ {name}_b AS (SELECT 0 AS step, NULL::DOUBLE AS c, 1 / (yy / n + 2.220446049250313e-16) AS noise, 1.0::DOUBLE AS weight, false AS done FROM {name}_m
+  UNION ALL SELECT step + 1, c1, (n - eff + 2e-6) / (err + 2e-6), (eff + 2e-6) / (c1 * c1 + 2e-6), coalesce(abs(c - c1) < 1e-3, false) FROM (
+   SELECT *, greatest(yy - 2 * c1 * xy + c1 * c1 * xx, 0) AS err, noise * xx / (weight + noise * xx) AS eff FROM (SELECT *, xy / (xx + weight / noise) AS c1 FROM {name}_b, {name}_m WHERE NOT done AND step < 300))),
+ {name}_w AS (SELECT xy / (xx + weight / noise) AS w, my - mx * xy / (xx + weight / noise) AS b FROM {name}_m, (SELECT * FROM {name}_b ORDER BY step DESC LIMIT 1))"""
+
+
+@register(
+    "f13_mice_pair",
+    HOMES.replace("WITH homes", "WITH RECURSIVE homes")
+    + f""", a AS (SELECT id, area_m2, bedrooms, avg(area_m2) OVER () AS ma, avg(bedrooms) OVER () AS mb FROM homes),
+ z0 AS (SELECT *, coalesce(area_m2 - ma, 0) AS za, coalesce(bedrooms - mb, 0) AS zb FROM a),{bayes_sql("p", "zb", "za", "FROM z0 WHERE area_m2 IS NOT NULL")},
+ z1 AS (SELECT id, area_m2, bedrooms, ma, mb, zb, CASE WHEN area_m2 IS NULL THEN b + w * zb ELSE za END AS za FROM z0, p_w),{bayes_sql("q", "za", "zb", "FROM z1 WHERE bedrooms IS NOT NULL")}
+ SELECT id, round(coalesce(area_m2, za + ma), 6) AS area_m2, round(CASE WHEN bedrooms IS NULL THEN b + w * za + mb ELSE bedrooms END, 6) AS bedrooms FROM z1, q_w""",
+)
+def f13_pair(spark, folder):
+    """Two columns, one round: the one with fewer gaps is completed first."""
+    rows = homes(spark, folder, located=False).select("id", "area_m2", "bedrooms")
+    filled = prep.MICEImputation(["area_m2", "bedrooms"], max_iter=1).fit_transform(rows)
+    return filled.select("id", F.round("area_m2", 6).alias("area_m2"), F.round("bedrooms", 6).alias("bedrooms"))
+
+
 @register(
     "f14_fill_mean",
     f"{HOMES} SELECT id, round(coalesce(CAST(area_m2 AS DOUBLE), (SELECT avg(area_m2) FROM homes)), 6) AS area_m2 FROM homes",

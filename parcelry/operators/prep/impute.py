@@ -6,12 +6,21 @@ completed table follow from the moments of the observed cells per missing
 pattern, and one distributed aggregation serves all rounds of the chain; only
 small matrices are handled on the driver. A second aggregation measures how far
 the cells move per round, for the stopping rule.
+
+The number of patterns can double with each column. Beyond FLAT_LIMIT columns
+each step is a pass of its own instead: tasks complete their rows as far as the
+chain has come and add up one moment matrix of the rows in which the column is
+observed, and the completed rows are stored once a round. The driver holds one
+matrix, whatever the patterns.
 """
 
 import numpy as np
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import functions as F, types as T
 
+from parcelry.operators import gram
 from parcelry.operators.prep.base import PreprocessingStrategy, as_list
+from parcelry.session import share_package, written
 
 FLAT_LIMIT = 6
 
@@ -40,6 +49,31 @@ def _clean(c):
     return F.when(~F.isnan(x), x)
 
 
+def advance(z, missing, steps):
+    """Complete rows in place: each step sets the missing cells of its column from all others."""
+    for step in steps:
+        j, line = step["column"], np.asarray(step["line"])
+        at = np.flatnonzero(missing[:, j])
+        if len(at):
+            z[at, j] = line[0] + z[at] @ line[1:]
+    return z
+
+
+def regression_line(total, j, others, k):
+    """Intercept and slopes of column ``j`` on ``others`` from the moments of (1, columns), as a line over all columns."""
+    n = total[0, 0]
+    at = [i + 1 for i in others]
+    mean_x, mean_y = total[at, 0] / n, total[j + 1, 0] / n
+    xx = total[np.ix_(at, at)] - n * np.outer(mean_x, mean_x)
+    xy = total[at, j + 1] - n * mean_x * mean_y
+    yy = total[j + 1, j + 1] - n * mean_y**2
+    slope = bayesian_ridge(xx, xy, max(yy, 0.0), n)
+    line = np.zeros(k + 1)
+    line[at] = slope
+    line[0] = mean_y - slope @ mean_x
+    return line
+
+
 class MICEImputation(PreprocessingStrategy):
     """Start from the column means; refit each column on the others, the fullest column first.
 
@@ -67,8 +101,11 @@ class MICEImputation(PreprocessingStrategy):
         self.state = {"means": means, "chain": []}
         if k == 1:
             return self
-        moments = self._moments(cells, means)
         order = sorted(range(k), key=lambda i: (first[f"n{i}"], i))
+        if k > FLAT_LIMIT:
+            self.state["chain"] = self._passes(cells, means, order, self.params["tol"] * max(first[f"t{i}"] for i in range(k)))
+            return self
+        moments = self._moments(cells, means)
         rounds, steps = self._run(moments, order, k)
         threshold = self.params["tol"] * max(first[f"t{i}"] for i in range(k))
         keep = self._rounds_needed(cells, means, moments, rounds, threshold)
@@ -97,6 +134,79 @@ class MICEImputation(PreprocessingStrategy):
             maps[p] = np.diag([1.0] + [0.0 if p >> i & 1 else 1.0 for i in range(k)])
         return maps
 
+    def _passes(self, cells, means, order, threshold):
+        """The chain's steps, one pass over the rows for each, and one for each round that stores them."""
+        share_package(cells.sparkSession)
+        k = len(means)
+        gram._check(k + 1, 1)
+        missing = [F.col(f"x{i}").isNull().alias(f"m{i}") for i in range(k)]
+        rows = written(cells.select(*[F.coalesce(F.col(f"x{i}") - F.lit(m), F.lit(0.0)).alias(f"z{i}") for i, m in enumerate(means)], *missing), "cells")
+        neighbours = self._neighbours({0: self._pass(rows, [], None, k)}, k)
+        chain = []
+        for _ in range(self.params["max_iter"]):
+            steps = []
+            for j in order:
+                # a column without gaps changes no cell, but its step is part of the chain
+                total = self._pass(rows, steps, j, k)
+                steps.append({"column": j, "line": regression_line(total, j, neighbours[j], k).tolist()})
+            chain += steps
+            rows = written(self._advanced(rows, steps, k), "round")
+            if (rows.agg(F.max("moved")).first()[0] or 0.0) < threshold:
+                break
+            rows = rows.drop("moved")
+        return chain
+
+    @staticmethod
+    def _pass(rows, steps, j, k):
+        """Moments of (1, completed cells) over the rows in which column ``j`` is observed, or over all."""
+
+        def partial(batches):
+            total = np.zeros((k + 1, k + 1))
+            for batch in batches:
+                cells = gram.matrix_of(batch)
+                z, missing = cells[:, :k].copy(), cells[:, k:] > 0
+                z = advance(z, missing, steps)
+                z = z if j is None else z[~missing[:, j]]
+                one = np.column_stack([np.ones(len(z)), z])
+                total += one.T @ one
+            yield from gram._rows({(0, 0): total}, pa.int32())
+
+        return gram._added(rows, partial, T.IntegerType())[0, 0]
+
+    @staticmethod
+    def _advanced(rows, steps, k):
+        """The rows after a round, with how far each has moved."""
+
+        def run(batches):
+            for batch in batches:
+                cells = gram.matrix_of(batch)
+                z, missing = cells[:, :k].copy(), cells[:, k:] > 0
+                before = z.copy()
+                z = advance(z, missing, steps)
+                columns = [pa.array(z[:, i]) for i in range(k)] + [batch.column(k + i) for i in range(k)] + [pa.array(np.abs(z - before).sum(axis=1))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "moved"])
+
+        return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("moved", T.DoubleType())]))
+
+    def _transform_wide(self, df, columns, means, chain):
+        """Rows completed by the whole chain, batch by batch; the imputed columns become doubles."""
+        share_package(df.sparkSession)
+        names = df.columns
+        at = [names.index(c) for c in columns]
+
+        def run(batches):
+            for batch in batches:
+                x = np.column_stack([batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in at])
+                missing = np.isnan(x)
+                z = advance(np.where(missing, 0.0, x - means), missing, chain)
+                arrays = list(batch.columns)
+                for i, own in zip(at, np.where(missing, z + means, x).T):
+                    arrays[i] = pa.array(own)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+        kinds = [T.StructField(f.name, T.DoubleType()) if f.name in columns else f for f in df.schema.fields]
+        return df.mapInArrow(run, T.StructType(kinds))
+
     def _neighbours(self, moments, k):
         wanted = self.params["n_nearest_features"]
         others = {j: [i for i in range(k) if i != j] for j in range(k)}
@@ -115,16 +225,7 @@ class MICEImputation(PreprocessingStrategy):
             maps = {p: m.copy() for p, m in maps.items()}
             for j in order:
                 total = sum(maps[p] @ moments[p] @ maps[p].T for p in moments if not p >> j & 1)
-                n = total[0, 0]
-                others = [i + 1 for i in neighbours[j]]
-                mean_x, mean_y = total[others, 0] / n, total[j + 1, 0] / n
-                xx = total[np.ix_(others, others)] - n * np.outer(mean_x, mean_x)
-                xy = total[others, j + 1] - n * mean_x * mean_y
-                yy = total[j + 1, j + 1] - n * mean_y**2
-                slope = bayesian_ridge(xx, xy, max(yy, 0.0), n)
-                line = np.zeros(k + 1)
-                line[others] = slope
-                line[0] = mean_y - slope @ mean_x
+                line = regression_line(total, j, neighbours[j], k)
                 steps.append({"column": j, "line": line.tolist()})
                 for p in maps:
                     if p >> j & 1:
@@ -163,13 +264,7 @@ class MICEImputation(PreprocessingStrategy):
         k = len(columns)
         if k <= FLAT_LIMIT:
             return self._transform_flat(df, columns, means, chain, k)
-        names = [f"__mice{i}" for i in range(k)]
-        work = df.withColumns({n: F.coalesce(_clean(c) - F.lit(m), F.lit(0.0)) for n, c, m in zip(names, columns, means)})
-        for step in chain:
-            j, line = step["column"], step["line"]
-            estimate = sum((F.col(names[i]) * F.lit(line[i + 1]) for i in range(k) if line[i + 1]), F.lit(line[0]))
-            work = work.withColumn(names[j], F.when(_clean(columns[j]).isNull(), estimate).otherwise(F.col(names[j])))
-        return work.withColumns({c: F.coalesce(_clean(c), F.col(n) + F.lit(m)) for c, n, m in zip(columns, names, means)}).drop(*names)
+        return self._transform_wide(df, columns, np.array(means), chain)
 
     def _transform_flat(self, df, columns, means, chain, k):
         """The whole chain as one affine expression per missing pattern."""
