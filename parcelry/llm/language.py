@@ -21,6 +21,8 @@ RARE = 0.001
 #: Words whose scores a worker keeps, and languages that a model may have: it has a float for each slot of each.
 KNOWN = 1 << 17
 LANGUAGES = 512
+#: Words of a run that is labelled beside others, and the most languages for which runs start from all of them.
+SPAN, SIDE_BY_SIDE = 256, 16
 SWITCH = 8.0
 
 #: First code points of the ranges of scripts, in Unicode's order. Others go with the range before them.
@@ -125,18 +127,34 @@ class Model:
         return np.where(self.allowed[:, scripts_of(tokens)].T, scores, scores.min(axis=1, keepdims=True) - 20.0)
 
 
-def viterbi(scores, first, penalty=SWITCH):
-    """Labels of all words of several texts: words of text k are first[k] to first[k + 1]. All texts advance side by side."""
-    sizes = np.diff(first)
-    label = np.zeros(len(scores), np.int64)
+def by_size(sizes):
+    """Order of runs from the longest on, and how many of them have a word at each step."""
     order = np.argsort(-sizes, kind="stable")
-    longest, alive = (int(sizes.max()) if len(sizes) else 0), np.searchsorted(-sizes[order], -np.arange(1, (int(sizes.max()) if len(sizes) else 0) + 1), "right")
-    if not longest:
-        return label
-    best, back = None, np.zeros(scores.shape, np.int8 if scores.shape[1] < 128 else np.int32)
-    kept = np.arange(scores.shape[1])
-    heads = first[:-1][order]
-    for t in range(longest):
+    return order, np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max()) + 1), "right")
+
+
+def ends(scores, heads, sizes, penalty):
+    """Best score of each run that ends in each label, after each label before it and (the last row) after nothing."""
+    order, alive = by_size(sizes)
+    n = scores.shape[1]
+    best = scores[heads[order]][:, None, :] - penalty * np.r_[1.0 - np.eye(n), np.zeros((1, n))]
+    for t in range(1, len(alive)):
+        own = best[: alive[t]]
+        np.maximum(own, own.max(axis=2, keepdims=True) - penalty, out=own)
+        own += scores[heads[order[: alive[t]]] + t][:, None, :]
+    out = np.empty_like(best)
+    out[order] = best
+    return out
+
+
+def labelled(scores, heads, sizes, penalty, before, last):
+    """Labels of the words of all runs side by side, after the label ``before`` (-1: nothing) and up to ``last`` (-1: the best)."""
+    label = np.zeros(len(scores), np.int64)
+    order, alive = by_size(sizes)
+    heads, before, last = heads[order], before[order], last[order]
+    back, kept = np.zeros(scores.shape, np.int8 if scores.shape[1] < 128 else np.int32), np.arange(scores.shape[1])
+    best = scores[heads].astype(np.float64) - penalty * ((before[:, None] >= 0) & (before[:, None] != kept))
+    for t in range(len(alive)):
         at = heads[: alive[t]] + t
         if t:
             best = best[: alive[t]]
@@ -145,16 +163,49 @@ def viterbi(scores, first, penalty=SWITCH):
             stay = best >= switch[:, None]
             back[at] = np.where(stay, kept, top[:, None])
             best = np.where(stay, best, switch[:, None]) + scores[at]
-        else:
-            best = scores[at].astype(np.float64)
-        done = slice(alive[t + 1] if t + 1 < longest else 0, alive[t])
-        label[at[done]] = best[done].argmax(axis=1)
-    for t in range(longest - 1, 0, -1):
+        done = slice(alive[t + 1] if t + 1 < len(alive) else 0, alive[t])
+        label[at[done]] = np.where(last[done] >= 0, last[done], best[done].argmax(axis=1))
+    for t in range(len(alive) - 1, 0, -1):
         at = heads[: alive[t]] + t
         label[at - 1] = back[at, label[at]]
     return label
 
 
+def viterbi(scores, first, penalty=SWITCH):
+    """Labels of all words of several texts: words of text k are first[k] to first[k + 1].
+
+    Texts are cut into runs of SPAN words, so that all advance side by side: first from every label to every label, which
+    gives the labels at the cuts, then within them. With many languages whole texts advance instead, to the same end.
+    """
+    size = np.diff(first)
+    with_words = np.flatnonzero(size)
+    if not len(with_words):
+        return np.zeros(len(scores), np.int64)
+    n = scores.shape[1]
+    span = SPAN if n <= SIDE_BY_SIDE else int(size.max())
+    runs = -(-size[with_words] // span)
+    text = np.repeat(np.arange(len(with_words)), runs)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
+    heads = first[:-1][with_words][text] + place * span
+    sizes = np.minimum(span, size[with_words][text] - place * span)
+    before, last = np.full(len(text), -1), np.full(len(text), -1)
+    if runs.max() > 1:
+        moves = ends(scores.astype(np.float64), heads, sizes, penalty)
+        own = np.cumsum(runs) - runs
+        value, came = moves[own, n], np.zeros((len(text), n), np.int64)
+        for k in range(1, int(runs.max())):
+            at = np.flatnonzero(runs > k)
+            ways = value[at][:, :, None] + moves[own[at] + k, :n]
+            came[own[at] + k] = ways.argmax(axis=1)
+            value[at] = ways.max(axis=1)
+        last[own + runs - 1] = value.argmax(axis=1)
+        for k in range(int(runs.max()) - 1, 0, -1):
+            at = own[runs > k] + k
+            before[at] = came[at, last[at]]
+            last[at - 1] = before[at]
+    return labelled(scores, heads, sizes, penalty, before, last)
+
+
 def has_letter(text):
     return any(unicodedata.category(c)[0] == "L" for c in text)
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelry.llm import language, mixing, neighbours, quality, rules
+from parcelry.llm import hashing, language, mixing, neighbours, quality, rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ENGLISH = "the cat sat on the mat and the dog ran to the house with all of them".split()
@@ -114,6 +114,34 @@ def test_viterbi_finds_the_best_path():
             assert value(got[a:b], scores[a:b]) == pytest.approx(max(value(p, scores[a:b]) for p in paths))
 
 
+@pytest.mark.parametrize("span", [1, 3, 256])
+def test_runs_of_a_text_join_to_the_best_path(monkeypatch, span):
+    """Whole texts, as with many languages, and short runs give paths of the same value; and the same labels, as no ties arise."""
+    rng = np.random.default_rng(5)
+    first = np.cumsum([0, 40, 0, 1, 7, 0, 300, 2])
+    scores = rng.normal(0, 3, (first[-1], 4)).astype(np.float32)
+    monkeypatch.setattr(language, "SPAN", span)
+    got = language.viterbi(scores, first, 4.0)
+    monkeypatch.setattr(language, "SIDE_BY_SIDE", 0)
+    assert (got == language.viterbi(scores, first, 4.0)).all()
+    assert len(set(got.tolist())) == 4
+
+
+def test_known_words_are_found_again(monkeypatch):
+    tokens = hashing.Tokens([b"one two three two one four five six seven"])
+    asked = []
+
+    def make(words):
+        asked.extend(words.hash.tolist())
+        return (words.hash % np.uint64(97)).astype(np.float32)[:, None]
+
+    known = language.Known(1, size=8)
+    for size in (3, 5, 9, 9):
+        words, like = language.distinct(hashing.Tokens([b" ".join(b"one two three two one four five six seven".split()[:size])]))
+        assert (known.get(words, make)[like][:, 0] == (tokens.hash[:size] % np.uint64(97)).astype(np.float32)).all()
+    assert len(asked) == 7
+
+
 def test_language_edges(docs, nothing):
     assert len(language.predict(docs, language.train(docs)).collect()) == docs.count()
     unlearned = language.predict(docs, language.train(nothing)).collect()
