@@ -120,7 +120,7 @@ def op6_warc(spark, folder):
 def op3_mixing(spark, folder):
     """Every document's log10 probability by the base and by the mixing model."""
     scored = mixing.score(table(spark, folder, "documents"), holdout=10)
-    return scored.select("doc_id", held_out(10), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out(10), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 @register("op12_pieces")

@@ -37,6 +37,21 @@ def test_mixing_base_is_exact(docs, nothing):
     assert mixing.score(nothing).collect() == []
 
 
+def test_mixing_is_the_same_under_any_partitioning(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "WORDS_A_STEP", 700)
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in (3, 8):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        rows = mixing.score(docs.repartition(parts)).collect()
+        found.append(sorted((r["doc_id"] or 0, r["n_tokens"], r["score"], r["bits_per_byte"]) for r in rows))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for a, b in zip(*found):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-12)
+    sizes = sorted((r["doc_id"] or 0, len((r["text"] or "").encode())) for r in docs.collect())
+    assert [x[3] for x in found[0] if x[0] == 1] == pytest.approx([-x[2] / math.log10(2) / dict(sizes)[1] for x in found[0] if x[0] == 1])
+
+
 def test_mixing_probabilities_of_all_continuations_sum_to_one():
     """The bits of one byte after a prefix are a tree: the probabilities of its leaves sum to one."""
     code = mixing.Code(np.arange(257))
