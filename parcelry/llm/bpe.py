@@ -7,8 +7,12 @@ what the merges make of its bytes, so each text has one path.
 
 A copy differs from its original by one missing arc, so the states are kept as what was cut, and when: ``cuts[a, b]`` is
 the number of the gadget that took arc ``b`` from the state behind ``a``.  The state behind a merged label is the one
-its right part had at that time, and a merged arc leaves a state if its left part did at that time; so an arc is found
-by looking up the right parts of the one label against the left parts of the other.  Arcs met once go to a table.
+its right part had at that time, and a merged arc leaves a state if its left part did at that time; so an entry of the
+transition table is found by looking up the right parts of the one label against the left parts of the other.  Entries met
+once stay in the table.
+
+A word is read from left to right without going back: the path that spells its first bytes is unique and its last label is
+the state, so of the labels that end at the next byte just one has an arc from the state where it begins.
 """
 
 import json
@@ -83,7 +87,8 @@ class Automaton:
                 self.cuts[a << 20 | b] = k
                 alive.add(ab)
         self.index = {self.labels[i]: i for i in alive}
-        self.longest = max(map(len, self.index))
+        #: What a label can end with: from a byte on backwards, labels are tried as long as one can still be met.
+        self.ends = {label[k:]: -1 for label in self.index for k in range(len(label))} | self.index
 
     def follows(self, u, v):
         """Whether the state behind arcs ``u`` has an arc ``v``."""
@@ -113,40 +118,42 @@ class Automaton:
         return self
 
     def walk(self, word):
-        """Labels of the one path that spells ``word``: longest arcs first, places that lead nowhere are remembered."""
+        """Labels of the one path that spells ``word``, found from its first byte to its last.
+
+        The state after each byte is the last label of the path that spells the bytes so far, which is unique; so of all
+        labels that end here just one has an arc from the state where it begins.
+        """
         whole = self.index.get(word)
         if whole is not None:
             return [whole]
-        index, arcs, n = self.index.get, self.arcs, len(word)
-        path, begun, nowhere, i, last = [], [], (), 0, -1
-        top = min(n, self.longest)
-        while i < n:
-            for j in range(top, i, -1):
-                token = index(word[i:j])
-                if token is None or j in nowhere:
-                    continue
-                if last < 0:
-                    break
-                key = last << 20 | token
-                known = arcs.get(key)
-                if known is None:
-                    if len(arcs) >= CACHED_ARCS:
-                        arcs.clear()
-                    known = arcs[key] = self.follows(last, token)
-                if known:
-                    break
-            else:
-                nowhere = {*nowhere, i}
-                path.pop()
-                last = path[-1] if path else -1
-                top, i = i - 1, begun.pop()
-                continue
-            path.append(token)
-            begun.append(i)
-            i, last = j, token
-            top = min(n, i + self.longest)
+        ends, arcs, n = self.ends.get, self.arcs.get, len(word)
+        state = [-1] * (n + 1)
+        for i in range(1, n + 1):
+            for k in range(i - 1, -1, -1):
+                label = ends(word[k:i])
+                if label is None:
+                    raise ValueError(f"no path spells {word[:i]!r}")
+                if label >= 0:
+                    last = state[k]
+                    if last < 0 or (arcs(last << 20 | label) or self.arc(last, label)) > 0:
+                        state[i] = label
+                        break
+        path, i = [], n
+        while i:
+            path.append(state[i])
+            i -= len(self.labels[state[i]])
+        path.reverse()
         return path
 
+    def arc(self, last, label):
+        """1 if an arc ``label`` leaves the state behind ``last``, else -1; kept in the table of arcs."""
+        known = self.arcs.get(last << 20 | label)
+        if known is None:
+            if len(self.arcs) >= CACHED_ARCS:
+                self.arcs.clear()
+            known = self.arcs[last << 20 | label] = 1 if self.follows(last, label) else -1
+        return known
+
     def split_and_walk(self, text):
         return b"".join(map(self.tokens.__getitem__, self.pattern.findall(text)))
 

@@ -1,6 +1,7 @@
 """Encoding, decoding and packing, against the public libraries."""
 
 import random
+import time
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -45,6 +46,15 @@ def test_automaton_gives_the_ids_of_the_merges(library, automaton):
         assert automaton.decode(array("I", ids).tobytes()) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_words_without_a_blank_take_linear_time(library, automaton):
+    rnd = random.Random(5)
+    for word in ("ab" * 30_000, "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "".join(rnd.choices("abcdefghij", k=60_000))):
+        assert list(array("I", automaton.encode(word))) == library.encode(word, add_special_tokens=False).ids
+    begun = time.process_time()
+    automaton.encode("".join(rnd.choices("abcdefghij", k=1_000_000)))
+    assert time.process_time() - begun < 60
+
+
 def test_every_merge_has_its_gadget(automaton):
     assert len(automaton.index) == 50_256
     assert all(automaton.walk(label) == [i] for label, i in list(automaton.index.items())[::97])
