@@ -1,3 +1,5 @@
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from catalogue.registry import places, register, table, title_of
@@ -216,3 +218,28 @@ def x14(spark, folder):
 def x15(spark, folder):
     seen = table(spark, folder, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("id"))
     return extraction.unseen(table(spark, folder, "lineitem").select(F.col("l_orderkey").cast("string").alias("id")), seen)
+
+
+def taken_apart(column):
+    """The column with every accented letter of the phrases as a letter and its separate marks."""
+    letters = sorted({c for c in "ầửổảáàạãâấậăắặẳệêếềểễộôốồọòóơợờớởưựừứữùúủũíìỉĩịýỳỷỹỵẦỐẶ" if unicodedata.normalize("NFD", c) != c})
+    for c in letters:
+        column = F.replace(column, F.lit(c), F.lit(unicodedata.normalize("NFD", c)))
+    return column
+
+
+@register("x6_age_hours_decomposed", f"SELECT l_orderkey, {AGE} AS timeline_hours FROM lineitem")
+def x6_apart(spark, folder):
+    return spoken(spark, folder).select("l_orderkey", L.age_hours(taken_apart(F.col("age_text"))).alias("timeline_hours"))
+
+
+@register("x10_title_floors_decomposed", f"SELECT l_orderkey, CAST({FLOORS} AS INTEGER) AS floors, l_orderkey % 5 IN (0, 3) AS frontage FROM lineitem")
+def x10_apart(spark, folder):
+    """Storeys and frontage from titles whose accents are separate marks."""
+    title = taken_apart(title_of())
+    return table(spark, folder, "lineitem").select("l_orderkey", L.title_floors(title).alias("floors"), L.has_frontage(title).alias("frontage"))
+
+
+@register("x13_price_decomposed", f"SELECT l_orderkey, CAST({PRICE} AS DOUBLE) AS price_million_vnd FROM lineitem")
+def x13_apart(spark, folder):
+    return spoken(spark, folder).select("l_orderkey", L.price_million(taken_apart(F.col("price_text"))).alias("price_million_vnd"))

@@ -254,3 +254,21 @@ def f15(spark, folder):
 @register("f16_missing_flags", f"{HOMES} SELECT id, " + ", ".join(f"{c}, CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in MEASURES) + " FROM homes")
 def f16(spark, folder):
     return clean.add_missing_flags(homes(spark, folder, located=False).select("id", *MEASURES), MEASURES)
+
+
+WRITTEN = "CASE o_orderkey % 5 WHEN 0 THEN 'soon' WHEN 1 THEN strftime(o_orderdate::TIMESTAMP, '%-d/%-m/%Y 07:05') ELSE strftime(o_orderdate::TIMESTAMP, '%d/%m/%Y 23:59') END"
+
+
+@register("f15_percent_format", f"SELECT o_orderkey, try_strptime({WRITTEN}, '%d/%m/%Y %H:%M') AS moment FROM orders")
+def f15_percent(spark, folder):
+    """Dates written day first, some with single digits, some no dates."""
+    rows, day = table(spark, folder, "orders"), F.col("o_orderdate").cast("date")
+    kind = F.col("o_orderkey") % 5
+    text = F.when(kind == 0, "soon").when(kind == 1, F.concat(F.date_format(day, "d/M/yyyy"), F.lit(" 07:05"))).otherwise(F.concat(F.date_format(day, "dd/MM/yyyy"), F.lit(" 23:59")))
+    return clean.parse_dates(rows.select("o_orderkey", text.alias("moment")), "moment", "%d/%m/%Y %H:%M")
+
+
+@register("a11_dropped_rows", "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_quantity, l_discount, l_tax FROM lineitem)) AS dropped FROM lineitem")
+def a11_dropped(spark, folder):
+    """How many rows the cleaner drops as repeated."""
+    return clean.DataCleaner(table(spark, folder, "lineitem").select("l_quantity", "l_discount", "l_tax")).drop_duplicates().dropped

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import strip
+from parcelry.functions.text import composed
 
 # The characters Unicode counts as white space.
 WS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -163,7 +164,7 @@ def absolute_url(href, base_url):
 def age_hours(text):
     """Hours of a relative age; units without an entry (minutes) give NULL."""
     pattern = rf"(\d+){WS}*({'|'.join(HOURS_PER_UNIT)})"
-    text = F.lower(_col(text))
+    text = F.lower(composed(text))
     unit = find(text, pattern, 2)
     hours = F.create_map(*[F.lit(x) for pair in HOURS_PER_UNIT.items() for x in pair])
     return (find_number(text, pattern, 1, "bigint") * F.try_element_at(hours, unit)).try_cast("int")
@@ -171,7 +172,7 @@ def age_hours(text):
 
 def first_number(facts, pattern):
     """Number of the first item of a list of texts that matches."""
-    hit = F.get(F.filter(_col(facts), lambda t: t.rlike(pattern)), F.lit(0))
+    hit = F.get(F.filter(F.transform(_col(facts), composed), lambda t: t.rlike(pattern)), F.lit(0))
     return find_number(hit, pattern)
 
 
@@ -186,6 +187,7 @@ def title_floors(title):
 
     A title with both a count and a number follows the count.
     """
+    title = composed(title)
     # The two words for a storey, here and below.
     counted = F.try_add(find_number(title, rf"(?iu)(\d+){WS}*(?:tầng|lầu)"), F.lit(1))
     numbered = find_number(title, rf"(?iu)(?:tầng|lầu){WS}*(\d+)")
@@ -194,14 +196,14 @@ def title_floors(title):
 
 def detail_floors(text):
     """Storeys named in a detail text; the written word wins over its abbreviations."""
-    text = F.lower(_col(text))
+    text = F.lower(composed(text))
     start, end = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
     spellings = [rf"{start}(\d+){WS}*{unit}{end}" for unit in ("(?:tầng|lầu)", "t", "l")]
     return F.coalesce(*[find_number(text, p) for p in spellings])
 
 
 def has_frontage(title):
-    return F.coalesce(_col(title).rlike(rf"(?iu)mặt{WS}+(?:tiền|phố|đường)"), F.lit(False))
+    return F.coalesce(composed(title).rlike(rf"(?iu)mặt{WS}+(?:tiền|phố|đường)"), F.lit(False))
 
 
 def price_million(text):
@@ -211,7 +213,7 @@ def price_million(text):
     by "rưỡi", a half. A decimal such as "2.5 tỷ" is read up to its point, as a
     bare number.
     """
-    text = F.lower(_col(text))
+    text = F.lower(composed(text))
     pattern = rf"^(\d+)(?:{WS}*(tỷ|triệu)(?:{WS}*(\d+){WS}*(triệu|nghìn|ngàn)|{WS}*(rưỡi))?)?"
     whole, part = (find_number(text, pattern, group, "double") for group in (1, 3))
     unit, part_unit, half = (F.regexp_extract(text, pattern, group) for group in (2, 4, 5))

@@ -1,5 +1,9 @@
 """Title normalisation and tokens."""
 
+import unicodedata
+from functools import lru_cache
+from itertools import permutations
+
 from pyspark.sql import functions as F
 
 
@@ -7,9 +11,46 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Combining marks above and below a letter, and a character with those that follow it.
+MARKS = "[\u0300-\u036f]"
+CLUSTER = "(?s)[^\u0300-\u036f]?[\u0300-\u036f]+|[^\u0300-\u036f]+(?![\u0300-\u036f])|[^\u0300-\u036f]"
+
+
+@lru_cache(maxsize=1)
+def compositions():
+    """{letter and its marks in any order: the one character that they make}, for all Latin letters of one or two marks."""
+    found = {}
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if 0 < len(marks) < 3 and unicodedata.normalize("NFC", chr(code)) == chr(code):
+            for order in permutations(marks):
+                if unicodedata.normalize("NFC", base + "".join(order)) == chr(code):
+                    found[base + "".join(order)] = chr(code)
+            if len(marks) == 2:
+                # the first mark is in place already
+                first = unicodedata.normalize("NFC", base + marks[0])
+                if len(first) == 1:
+                    found[first + marks[1]] = chr(code)
+    return found
+
+
+def composed(c):
+    """Letters with the marks that follow them as one character, as far as Latin has it; a text without marks is left alone.
+
+    Spark has no such function. Only texts with marks are taken apart: each letter with marks is looked up.
+    """
+    table = compositions()
+    known = F.map_from_arrays(F.lit(list(table)), F.lit(list(table.values())))
+    whole = lambda p: F.coalesce(F.try_element_at(known, p), F.concat(F.coalesce(F.try_element_at(known, F.substring(p, 1, 2)), F.substring(p, 1, 2)), F.substring(p, 3, 1 << 20)))
+    part = lambda p: F.when(p.rlike(MARKS), whole(p)).otherwise(p)
+    # the text is bound to a lambda variable, so that it is computed once
+    read = lambda t: F.when(t.rlike(MARKS), F.array_join(F.transform(F.regexp_extract_all(t, F.lit(CLUSTER), F.lit(0)), part), "")).otherwise(t)
+    return F.get(F.transform(F.array(_col(c)), read), F.lit(0))
+
+
 def normalise_title(c):
-    """Lower case; every run of characters other than letters becomes one space."""
-    return F.trim(F.regexp_replace(F.lower(_col(c)), r"[^a-zA-ZÀ-ỹ]+", " "))
+    """Lower case; every run of characters other than letters becomes one space. Letters may come with separate marks."""
+    return F.trim(F.regexp_replace(F.lower(composed(c)), r"[^a-zA-ZÀ-ỹ]+", " "))
 
 
 def tokens(c):

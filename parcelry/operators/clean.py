@@ -1,5 +1,6 @@
 """Cleaning: projections, row filters, missing values, duplicates, dates."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F, types as T
@@ -59,9 +60,35 @@ def add_missing_flags(df, columns):
     return df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in columns})
 
 
-def parse_dates(df, column, fmt="yyyy-MM-dd"):
-    """Text to timestamp; what does not fit the format becomes NULL."""
+# Codes of percent formats and the patterns they stand for, with two digits and with one or two.
+DATE_CODES = {"Y": ("yyyy", "yyyy"), "y": ("yy", "yy"), "m": ("MM", "M"), "d": ("dd", "d"), "H": ("HH", "H"), "I": ("hh", "h"), "M": ("mm", "m"), "S": ("ss", "s"), "p": ("a", "a"), "b": ("MMM", "MMM"), "B": ("MMMM", "MMMM"), "j": ("DDD", "D"), "f": ("SSSSSS", "SSSSSS")}
+
+
+def date_pattern(fmt):
+    """A percent format such as ``%Y-%m-%d`` as a pattern; a pattern is returned as it is.
+
+    Numbers may have one digit less where nothing but a separator stands beside them. Two-digit years are of this century.
+    """
+    if "%" not in fmt:
+        return fmt
+    pieces = re.findall(r"%.|[^%]+", fmt, re.DOTALL)
+    out = []
+    for k, piece in enumerate(pieces):
+        if piece[0] != "%" or piece == "%%":
+            text = "%" if piece == "%%" else piece
+            out.append("".join("''" if c == "'" else f"'{c}'" if c.isalpha() else c for c in text))
+            continue
+        if piece[1] not in DATE_CODES:
+            raise ValueError(f"date format code {piece} is not supported")
+        beside = [p for p in pieces[max(k - 1, 0) : k + 2] if p is not piece and p[0] == "%" and p != "%%"]
+        out.append(DATE_CODES[piece[1]][0 if beside else 1])
+    return "".join(out)
+
+
+def parse_dates(df, column, fmt="%Y-%m-%d"):
+    """Text to timestamp by a percent format or a pattern; what does not fit it becomes NULL."""
     require_columns(df, [column])
+    fmt = date_pattern(fmt)
     return df.withColumn(column, F.try_to_timestamp(F.col(column), F.lit(fmt)).cast("timestamp_ntz"))
 
 
@@ -132,15 +159,22 @@ class DataCleaner:
     def __init__(self, df, interim_dir=None):
         self.df = df
         self.interim_dir = interim_dir
+        self.dropped = None
 
-    def format_dates(self, column, date_format="yyyy-MM-dd"):
+    def format_dates(self, column, date_format="%Y-%m-%d"):
         self.df = parse_dates(self.df, column, date_format)
         return self
 
     def drop_duplicates(self):
+        """``dropped`` then is a table of one number, how many rows went; it is counted when it is read."""
+        self.dropped = duplicate_rows(self.df, "dropped")
         self.df = drop_duplicate_rows(self.df)
         return self
 
+    def dropped_rows(self):
+        """How many rows the last ``drop_duplicates`` took away."""
+        return 0 if self.dropped is None else self.dropped.first()[0]
+
     def handle_nan(self, method, columns=None):
         self.df = fill_missing(self.df, method, columns)
         return self
