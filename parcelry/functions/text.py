@@ -43,9 +43,8 @@ def composed(c):
     known = F.map_from_arrays(F.lit(list(table)), F.lit(list(table.values())))
     whole = lambda p: F.coalesce(F.try_element_at(known, p), F.concat(F.coalesce(F.try_element_at(known, F.substring(p, 1, 2)), F.substring(p, 1, 2)), F.substring(p, 3, 1 << 20)))
     part = lambda p: F.when(p.rlike(MARKS), whole(p)).otherwise(p)
-    # the text is bound to a lambda variable, so that it is computed once
-    read = lambda t: F.when(t.rlike(MARKS), F.array_join(F.transform(F.regexp_extract_all(t, F.lit(CLUSTER), F.lit(0)), part), "")).otherwise(t)
-    return F.get(F.transform(F.array(_col(c)), read), F.lit(0))
+    c = _col(c)
+    return F.when(c.rlike(MARKS), F.array_join(F.transform(F.regexp_extract_all(c, F.lit(CLUSTER), F.lit(0)), part), "")).otherwise(c)
 
 
 def normalise_title(c):

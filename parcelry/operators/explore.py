@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parcelry.functions.scalar import cut
 from parcelry.operators.gram import correlation_matrix
 from parcelry.operators.lookup import lookup
-from parcelry.operators.quantiles import clean_double, column_quantiles, column_sketches, group_median, group_quantiles, quantiles_within
+from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_quantiles
 from parcelry.operators.reshape import column_rows
 from parcelry.schema import NON_MEASURES, numeric_columns
 
@@ -66,14 +66,14 @@ def count_by_month_start(df, year, month):
 def describe(df, columns=None):
     """One row per numeric column: count, mean, sample deviation, extremes and exact quartiles.
 
-    Two passes: moments and quantile brackets of all columns together, then the values inside the brackets.
+    Three passes: moments, quantile brackets, and the values inside the brackets.
     """
     columns = columns or numeric_columns(df)
     probs = [0.25, 0.5, 0.75]
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     moments = [f(clean_double(F.col(f"`{c}`"))).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in measures.items()]
-    sketches, row = column_sketches(df, columns, probs, extra=moments)
-    quartiles = quantiles_within(df, columns, probs, sketches)
+    row = df.agg(*moments).first()
+    quartiles = column_quantiles(df, columns, probs)
     rows = [(c, *[row[f"{name}_{i}"] for name in measures], *[None if math.isnan(q) else float(q) for q in quartiles[c]]) for i, c in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, max double, q25 double, q50 double, q75 double")
 

@@ -155,30 +155,15 @@ def long_form(df, columns, name="column", value="value"):
 
 
 def column_quantiles(df, columns, probs, accuracy=ACCURACY):
-    """{column: [quantile, ...]} for all columns: one aggregation for all brackets, one pass for the values inside; NaN where a column is empty."""
-    return quantiles_within(df, columns, probs, column_sketches(df, columns, probs, accuracy)[0])
-
-
-def column_sketches(df, columns, probs, accuracy=ACCURACY, extra=()):
-    """(brackets of all columns, row of ``extra`` aggregates), from one aggregation over the rows as they are."""
+    """{column: [quantile, ...]} for all columns: one pass for the brackets, one for the values inside; NaN where a column is empty."""
     probs = [float(p) for p in probs]
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
-    parts = []
-    for k, c in enumerate(columns):
-        count, ends = _sketch(probs, accuracy, clean_double(F.col(f"`{c}`")))
-        parts += [count.alias(f"n{k}"), ends.alias(f"b{k}")]
-    row = df.agg(*parts, *extra).first()
-    return {c: (row[f"n{k}"], list(row[f"b{k}"] or [])) for k, c in enumerate(columns)}, row
-
-
-def quantiles_within(df, columns, probs, sketches):
-    """Exact quantiles from the brackets of ``column_sketches``."""
-    probs = [float(p) for p in probs]
-    rows = [(c, n, b) for c, (n, b) in sketches.items() if n]
+    cells = long_form(df, columns).withColumnRenamed("value", "__v")
+    sketches = cells.groupBy("column").agg(*_sketch(probs, accuracy))
+    known = sketches.collect()  # a row of fixed size for each column
     found = {}
-    if rows:
-        brackets = F.broadcast(df.sparkSession.createDataFrame(rows, "column string, __n long, __b array<double>"))
-        cells = long_form(df, columns).withColumnRenamed("value", "__v")
+    if known:
+        brackets = F.broadcast(df.sparkSession.createDataFrame(known, sketches.schema))
         found = {r["column"]: list(r["q"]) for r in _narrowed(cells, ["column"], probs, brackets).collect()}
     return {c: found.get(c, [math.nan] * len(probs)) for c in columns}
