@@ -10,7 +10,7 @@ import tiktoken
 from parcelry.llm.bpe import SPLIT, Recent
 from parcelry.llm.common import ready
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 class RankEncoder:
