@@ -143,7 +143,25 @@ def op11_repair(spark, folder):
     return repair.report(conversations, repair.damaged(conversations))
 
 
-@register("op13_trie")
+#: Nodes are paths of digests; the totals come from each node's smallest member, whose path passes all nodes above it. The list is a CRC-32, bit by bit.
+TRIE_SQL = """WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+  sha256(len(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+ b AS (SELECT DISTINCT conv_id, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS bits FROM t),
+ c AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], bits), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h FROM b),
+ r AS (SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+  UNION ALL SELECT t.conv_id, 1, pos, role, text FROM t JOIN c ON c.conv_id = t.conv_id WHERE pos > h),
+ s AS (SELECT conv_id, len(text) AS chars, row_number() OVER w AS d, string_agg(sha256(len(role)::VARCHAR || ':' || role || text), '') OVER w AS path FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+ p AS (SELECT conv_id, 0 AS d, '' AS path, 0 AS chars FROM c UNION ALL SELECT conv_id, d, path, chars FROM s),
+ n AS (SELECT path, min(conv_id) AS conv_id, max(d) AS depth, count(*) AS n_convs, max(chars) AS chars, CASE WHEN path <> '' THEN left(path, len(path) - 64) END AS parent FROM p GROUP BY path),
+ k AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+ v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved FROM n LEFT JOIN k ON k.parent = n.path),
+ u AS (SELECT p.path, sum((v.n_children = 0)::INT) AS n_leaves, sum(v.saved) AS saved_tokens FROM v JOIN p ON p.conv_id = v.conv_id AND p.d <= v.depth GROUP BY p.path),
+ e AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, arg_max(path, d) AS path FROM p GROUP BY conv_id) GROUP BY path)
+ SELECT v.conv_id, v.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256 FROM v JOIN u ON u.path = v.path LEFT JOIN e ON e.path = v.path LEFT JOIN n AS a ON a.path = v.parent"""
+
+
+@register("op13_trie", TRIE_SQL)
 def op13_trie(spark, folder):
     """Every node of the prefix trie of the rebuilt conversations."""
     turns = settled(trie.placed(table(ready(spark), folder, "conversations")), "turns")

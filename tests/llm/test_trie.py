@@ -121,3 +121,10 @@ def test_centroids_give_subtree_sums():
 def test_no_conversations(spark):
     nothing = spark.createDataFrame([], SCHEMA)
     assert trie.prefix_trie(trie.rebuilt(settled(trie.placed(nothing), "turns"))).count() == 0
+
+
+def test_query_agrees_with_its_sql(spark):
+    import oracle
+
+    folder = "/root/testdata/sf0.001"
+    assert oracle.compare(queries.QUERIES["op13_trie"](spark, folder), folder, queries.CHECKS["op13_trie"]) == []
