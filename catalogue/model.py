@@ -7,6 +7,7 @@ from parcelry.operators import explore as X, regression as M
 from parcelry.operators.prep import OneHotEncoding
 from parcelry.operators.reshape import id_unit, id_unit_sql, train_test_split, with_fold
 from parcelry.plans import features as feature_plan, scoring
+from parcelry.session import written
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 UNIT = id_unit_sql("l_orderkey")
@@ -254,3 +255,19 @@ def m9_ridge(spark, folder):
     """Held-out error of the same ridge for each of five folds: all fits and errors come from one pass."""
     rows, features = all_columns(spark, folder)
     return rounded(M.cross_validate_linear(rows, features, "y", PENALTY, on_sum=True))
+
+
+@register(
+    "m12_ridge_residual_boxes",
+    SOLVED.format(groups="h AS (SELECT 0 AS k, i, j, sum(s) AS s FROM g GROUP BY i, j)")
+    + """, res AS (SELECT 'province_' || p[list_position(z[11:10 + len(p)], 1.0)] AS region, z[len(z)] - list_dot_product(z[1:len(z) - 1], f.w[1:len(z) - 1]) AS r FROM d, f, (SELECT p FROM c))"""
+    + box_sql("res", "region", "r"),
+)
+def m12_ridge(spark, folder):
+    """Boxes of the ridge's residuals by the one-hot region column that each row is dominated by."""
+    rows, features = all_columns(spark, folder)
+    rows = written(rows, "columns")
+    model = M.ClosedRidge(PENALTY).fit(rows, features, "y")
+    regions = [c for c in features if c.startswith("province_")]
+    left = model.transform(rows).select(S.largest_column(regions).alias("region"), (F.col("y") - F.col("prediction")).alias("r"))
+    return rounded(X.box_stats(left, "region", "r"))
