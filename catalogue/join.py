@@ -17,6 +17,21 @@ def j1(spark, folder):
     return joins.join_views(price, place).withColumnRenamed("id", "l_orderkey")
 
 
+@register(
+    "j1_hot_id",
+    """WITH t AS (SELECT l_returnflag, l_linestatus, count(*) AS n_lines, min(l_shipdate) AS first_shipped FROM lineitem GROUP BY ALL)
+ SELECT l_returnflag, l_orderkey, l_linenumber, l.l_linestatus AS l_linestatus, t.l_linestatus AS other_status, n_lines, first_shipped
+ FROM lineitem l JOIN t USING (l_returnflag)""",
+)
+def j1_hot(spark, folder):
+    """Lines with the totals of their return flag, three ids that hold all rows; a grid of cells shares them out."""
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_linestatus", "l_shipdate")
+    totals = lines.groupBy("l_returnflag", F.col("l_linestatus").alias("other_status")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("l_shipdate").alias("first_shipped")
+    )
+    return joins.join_views(lines.drop("l_shipdate"), totals, "l_returnflag")
+
+
 TOP = "top AS (SELECT s_nationkey AS n FROM supplier JOIN lineitem ON s_suppkey = l_suppkey GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 10)"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import strip
 from parcelry.operators.lookup import lookup
+from parcelry.operators.skew import split_join
 
 # Provinces before the 2025 merger, grouped by the province they became.
 MERGED_PROVINCES = {
@@ -55,10 +56,10 @@ SELECTED_PROVINCES = SOUTH + CENTRAL_COAST + NORTH
 def join_views(left, right, on="id"):
     """Inner join of two views of the listings; repeated ids multiply.
 
-    Both sides grow with the data, so the strategy is left to Spark, which
-    splits a hot id at run time.
+    Both sides grow with the data. Ids that are hot on either side are split
+    over tasks, the others joined as Spark sees fit.
     """
-    return left.join(right, on, "inner")
+    return split_join(left, right, on)
 
 
 def keep_matching(df, table, on):
