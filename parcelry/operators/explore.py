@@ -1,7 +1,9 @@
 """Descriptive statistics behind the charts: each function returns a DataFrame."""
 
 import math
+from functools import reduce
 
+from numpy.polynomial.hermite_e import herme2poly
 from pyspark.sql import functions as F
 
 from parcelry.functions.scalar import cut
@@ -181,27 +183,51 @@ def binned_counts(df, column, edges=ROOM_EDGES, labels=ROOM_LABELS):
     return frame.join(counts, "label", "left").select("position", "label", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+TERMS = 12
+CELL = 0.25
+KERNEL_REACH = 9.0
+# e^(-u²/2) times the Hermite polynomial k is the k-th term of the kernel around a cell's middle; row k: its coefficients
+HERMITE = [[float(c) for c in herme2poly([0] * k + [1])] for k in range(TERMS)]
+
+
 def density(df, column, points=200, cut_widths=0.0):
-    """Gaussian kernel density with Scott's bandwidth on an even grid over the value range.
+    """Gaussian kernel density with Scott's bandwidth on an even grid over the value range: (i, x, density).
 
-    Each distinct value is expanded over the fixed grid and summed on the map
-    side, so no more than ``points`` rows per task are shuffled.
+    Values are summed into cells a quarter of the bandwidth wide, each with the first ``TERMS`` moments about its middle, and
+    the kernel is expanded about that middle: no value is off by more than 1e-15 of the kernel's peak, and values further than
+    ``KERNEL_REACH`` bandwidths from a point (under 3e-18 of the peak) add nothing to it. A task sends one row per cell it
+    meets, then at most ``points`` rows. Nulls and NaN are left out; infinite values and fewer than two different ones are an error.
     """
     v = F.col(column).cast("double")
     values = df.select(F.when(~F.isnan(v), v).alias("x")).dropna()
     stats = values.agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if not stats["n"] or not stats["sd"]:
-        raise ValueError(f"{column} needs at least two different values")
+    if not stats["n"] or not stats["sd"] or not math.isfinite(stats["sd"]):
+        raise ValueError(f"{column} needs at least two different, finite values")
     width = stats["sd"] * stats["n"] ** -0.2
     lo, hi = stats["lo"] - cut_widths * width, stats["hi"] + cut_widths * width
-    step = (hi - lo) / (points - 1)
-    grid = F.lit(lo) + F.col("i") * F.lit(step)
-    z = (grid - F.col("x")) / F.lit(width)
-    kernel = F.col("w") * F.exp(-0.5 * z * z)
-    weights = values.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    spread = weights.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    step = (hi - lo) / (points - 1) if points > 1 else 1.0
+    cell = F.floor((F.col("x") - F.lit(stats["lo"])) / F.lit(CELL * width))
+    middle = F.lit(stats["lo"]) + (F.col("cell") + 0.5) * F.lit(CELL * width)
+    powers = [F.lit(1.0), F.col("y")]
+    for k in range(2, TERMS):
+        powers.append(powers[k // 2] * powers[k - k // 2])
+    near = values.withColumn("cell", cell).select("cell", ((F.col("x") - middle) / F.lit(width)).alias("y"))
+    cells = near.groupBy("cell").agg(*[F.sum(p).alias(f"m{k}") for k, p in enumerate(powers)])
+    terms = [
+        reduce(lambda a, b: a + b, [F.col(f"m{k}") * F.lit(HERMITE[k][i] / math.factorial(k)) for k in range(i, TERMS, 2)]).alias(f"c{i}")
+        for i in range(TERMS)
+    ]
+    first = F.greatest(F.ceil((middle - F.lit(KERNEL_REACH * width + lo)) / F.lit(step)), F.lit(0)).cast("int")
+    last = F.least(F.floor((middle + F.lit(KERNEL_REACH * width - lo)) / F.lit(step)), F.lit(points - 1)).cast("int")
+    reached = cells.select(middle.alias("middle"), *terms, first.alias("first"), last.alias("last")).where("first <= last")
+    met = reached.select("*", F.explode(F.sequence("first", "last")).alias("i"))
+    met = met.withColumn("u", (F.lit(lo) + F.col("i") * F.lit(step) - F.col("middle")) / F.lit(width))
+    bump = reduce(lambda total, i: total * F.col("u") + F.col(f"c{i}"), reversed(range(TERMS - 1)), F.col(f"c{TERMS - 1}"))
+    sums = met.groupBy("i").agg(F.sum(F.exp(-0.5 * F.col("u") * F.col("u")) * bump).alias("s"))
     scale = 1.0 / (stats["n"] * width * math.sqrt(2 * math.pi))
-    return spread.groupBy("i").agg(F.sum(kernel).alias("s")).select("i", grid.alias("x"), (F.col("s") * F.lit(scale)).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
+    found = grid.join(sums, "i", "left").select("i", F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)).alias("s"))
+    return found.select("i", (F.lit(lo) + F.col("i") * F.lit(step)).alias("x"), (F.col("s") * F.lit(scale)).alias("density"))
 
 
 def area_members(labels, label="label"):
