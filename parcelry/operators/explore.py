@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from parcelry.functions.scalar import cut
 from parcelry.operators.gram import correlation_matrix
 from parcelry.operators.lookup import lookup
-from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_quantiles
+from parcelry.operators.quantiles import clean_double, column_quantiles, group_median, group_values, stored_quantiles
 from parcelry.operators.reshape import column_rows
 from parcelry.schema import NON_MEASURES, numeric_columns
+from parcelry.session import written
 
 ROOM_EDGES = [0, 1, 2, 3, 4, 5, 10]
 ROOM_LABELS = ["1", "2", "3", "4", "5", "6+"]
@@ -126,12 +127,12 @@ def regression_line(df, x, y, keys=()):
 def box_stats(df, keys, value):
     """Quartiles, whiskers within 1.5 interquartile ranges and the number of outliers per group."""
     keys = _keys(keys)
-    v = F.col(value).cast("double")
-    rows = df.select(*keys, F.when(~F.isnan(v), v).alias("__value")).dropna()
-    quartiles = group_quantiles(rows, keys, "__value", [0.25, 0.5, 0.75]).select(
+    # read by the quartiles and by the pass that follows them
+    rows = written(group_values(df, keys, value), "values")
+    quartiles = stored_quantiles(rows, keys, [0.25, 0.5, 0.75]).select(
         *keys, F.col("n"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
     )
-    x, reach = F.col("__value"), 1.5 * (F.col("q3") - F.col("q1"))
+    x, reach = F.col("__v"), 1.5 * (F.col("q3") - F.col("q1"))
     inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
     return lookup(rows, quartiles, keys, "inner").groupBy(*keys, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("whisker_low"),

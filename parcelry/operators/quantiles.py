@@ -43,16 +43,25 @@ def group_quantiles(df, keys, value, probs, accuracy=ACCURACY, direct_rows=DIREC
     probs = [float(p) for p in probs]
     if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
-    rows = df.select(*keys, clean_double(value).alias("__v")).dropna()
+    rows = group_values(df, keys, value)
     if not keys:
         return _narrowed(rows, keys, probs, rows.agg(*_sketch(probs, accuracy)))
     # read by the sketch and by the passes that follow it
-    rows = written(rows, "values")
+    return stored_quantiles(written(rows, "values"), keys, probs, accuracy, direct_rows)
+
+
+def group_values(df, keys, value):
+    """The keys and the value as ``__v``, without missing ones."""
+    return df.select(*keys, clean_double(value).alias("__v")).dropna()
+
+
+def stored_quantiles(rows, keys, probs, accuracy=ACCURACY, direct_rows=DIRECT_ROWS):
+    """``group_quantiles`` of stored ``group_values``, for callers that read those again."""
     sketches = rows.groupBy(*keys).agg(*_sketch(probs, accuracy))
     known = collect_bounded(sketches)
     if known is None:
         return _narrowed(rows, keys, probs, written(sketches, "sketches"))
-    spark, schema = df.sparkSession, sketches.schema
+    spark, schema = rows.sparkSession, sketches.schema
     large = [r for r in known if r["__n"] > direct_rows]
     if not large:
         return _direct(rows, keys, probs)
@@ -81,30 +90,39 @@ def _direct(rows, keys, probs):
 
 def _narrowed(rows, keys, probs, brackets):
     inner = _inner(probs)
-    if keys:
-        marked = rows.join(brackets, keys)
-    else:
-        marked = rows.crossJoin(brackets)  # a single row of brackets
-
     m = len(inner)
     v = F.col("__v")
-    lows = [F.col("__b")[i] for i in range(m)]
-    highs = [F.col("__b")[m + i] for i in range(m)]
-    inside = F.lit(False)
-    gap = F.lit(0)
-    for lo, hi in zip(lows, highs):
-        inside = inside | ((v >= lo) & (v <= hi))
-        gap = gap + (v > hi).cast("int")
-    # brackets are in order, so the first that does not end below the value is the one it can lie in
-    low_end, high_end = (F.get(F.array(*x), gap) if m else F.lit(None).cast("double") for x in (lows, highs))
-    share = (v - low_end) / F.nullif(high_end - low_end, F.lit(0.0))
-    step = F.when((share >= 0) & (share <= 1), F.least(F.floor(share * CHUNKS), F.lit(CHUNKS - 1))).otherwise(F.lit(0))
+    lows, highs = ([f"__{side}{i}" for i in range(m)] for side in ("l", "h"))
+    ends = brackets.select(*keys, "__n", *[F.get("__b", F.lit(i)).alias(c) for i, c in enumerate(lows + highs)])
+    if keys:
+        marked = rows.join(ends, keys)
+    else:
+        marked = rows.crossJoin(ends)  # a single row of brackets
+
+    def first_reached(values, rest):
+        """The value of the first bracket that does not end below the row's; brackets are in order, so a row can lie in that one only."""
+        for high, value in reversed([*zip(highs, values)]):
+            rest = F.when(v <= F.col(high), value).otherwise(rest)
+        return rest
+
+    # each step names what the next one uses more than once: as one expression this is too long to be compiled
+    none = F.lit(None).cast("double")
+    low, high = F.col("__low"), F.col("__high")
+    marked = marked.select(
+        *keys, "__n", "__v", first_reached([F.lit(i) for i in range(m)], F.lit(m)).alias("__gap"),
+        first_reached([F.col(c) for c in lows], none).alias("__low"), first_reached([F.col(c) for c in highs], none).alias("__high"),
+    )
+    marked = marked.select(*keys, "__n", "__v", "__gap", F.coalesce(v >= low, F.lit(False)).alias("__in"), ((v - low) / F.nullif(high - low, F.lit(0.0))).alias("__share"))
+    share = F.col("__share")
+    step = F.when(F.col("__in") & (share >= 0) & (share <= 1), F.least(F.floor(share * CHUNKS), F.lit(CHUNKS - 1))).otherwise(F.lit(0))
+    chunk = (F.col("__gap") * 2 + F.col("__in").cast("int")).cast("long") * CHUNKS + step
     cells = (
-        marked.withColumn("__in", inside)
-        .withColumn("__chunk", (gap * 2 + F.col("__in").cast("int")).cast("long") * CHUNKS + F.when(F.col("__in"), step).otherwise(F.lit(0)))
-        .groupBy(*keys, "__n", "__chunk", F.when(F.col("__in"), v).alias("__exact"))
+        marked.select(*keys, "__n", "__v", chunk.alias("__chunk"), F.when(F.col("__in"), v).alias("__exact"))
+        .groupBy(*keys, "__n", "__chunk", "__exact")
         .agg(F.count("__v").alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     )
+    # few rows, read twice below
+    cells = written(cells, "bracket-cells")
     positions = [F.lit(p) * (F.col("__n") - 1) for p in probs]
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = cells.groupBy(*keys, "__n", "__chunk").agg(F.sum("__c").alias("__t")).withColumn("__start", F.coalesce(F.sum("__t").over(before), F.lit(0)))

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from parcelry.operators.explore import box_stats
 from parcelry.operators.lookup import lookup, salted_join
 from parcelry.operators.quantiles import column_quantiles, group_quantiles
 
@@ -67,3 +68,29 @@ def test_infinities_and_ties(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = group_quantiles(df, [], "v", [0.0, 0.5, 1.0], accuracy=10).first()
     assert got["q"][1] == 1.0
+
+
+def counted(spark, df):
+    """The table, and an accumulator of the rows that were read of it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_columns_are_read_twice(spark):
+    df, seen = counted(spark, spark.range(0, 5000, 1, 3).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b")))
+    found = column_quantiles(df, ["a", "b"], [0.25, 0.5, 0.75], accuracy=200)
+    assert found == {"a": [1249.75, 2499.5, 3749.25], "b": [1.0, 3.0, 5.0]}
+    assert seen.value == 2 * 5000
+
+
+def test_boxes_read_their_rows_once(spark):
+    df, seen = counted(spark, spark.range(0, 6000, 1, 3).select((F.col("id") % 2).alias("k"), F.floor(F.col("id") / 2).cast("double").alias("v")))
+    rows = {r["k"]: r for r in box_stats(df, "k", "v").collect()}
+    assert [rows[k]["median"] for k in (0, 1)] == [1499.5, 1499.5]
+    assert seen.value == 6000
