@@ -103,3 +103,14 @@ def test_tokens(spark):
     pairs = [r[0] for r in df.select(T.bigrams(T.long_words("t"))).collect()]
     assert pairs[0] == ["bán nhà", "nhà 3x", "3x tầng", "tầng của", "của tôi"]
     assert pairs[1] == [] and pairs[3] == []
+
+
+@pytest.mark.parametrize("build", [T.composed, L.age_hours, L.title_floors, L.detail_floors, L.has_frontage, L.price_million, L.card_blocks, lambda c: L.absolute_url(c, "b")])
+def test_a_text_is_computed_once(spark, build):
+    plan = spark.createDataFrame([("a", "b")], "one string, two string").select(build(F.concat("one", F.lit("MARKER"), "two")).alias("v"))
+    assert plan._jdf.queryExecution().analyzed().toString().split("\n")[0].count("MARKER") == 1
+
+
+def test_compositions_lie_in_small_maps():
+    sizes = [part.count("'") // 4 for part in T.composition_buckets().split("map(")[1:]]
+    assert len(sizes) == T.BUCKETS and max(sizes) < 16 and sum(sizes) == len(T.compositions()) + T.BUCKETS
