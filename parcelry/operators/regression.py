@@ -382,7 +382,11 @@ class ElasticNetSearch:
 
 
 def linear_expression(intercept, coefficients):
-    """Terms are added in pairs, so that the expression stays shallow for many columns."""
+    """Terms are added in pairs, so that the expression stays shallow; more than ``NARROW`` are added up as a list, since one expression of them is too long to be compiled."""
+    if len(coefficients) > NARROW:
+        cells = F.array(*[F.col(f"`{c}`").cast("double") for c in coefficients])
+        products = F.zip_with(cells, F.lit([float(w) for w in coefficients.values()]), lambda x, w: x * w)
+        return F.aggregate(products, F.lit(float(intercept)), lambda a, b: a + b)
     terms = [F.lit(intercept), *[F.col(f"`{c}`").cast("double") * F.lit(w) for c, w in coefficients.items()]]
     while len(terms) > 1:
         terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + terms[len(terms) // 2 * 2 :]

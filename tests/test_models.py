@@ -173,3 +173,14 @@ def test_saved_models_give_the_same_rows(spark, data, tmp_path):
     assert sum(r["importance"] for r in importances) == pytest.approx(1) and importances[0]["importance"] >= importances[-1]["importance"]
     gap = M.train_test_gap(tree, rows.filter("fold > 0"), rows.filter("fold = 0"), "y", "tree").first()
     assert gap["rmse_gap"] == pytest.approx(gap["test_rmse"] - gap["train_rmse"])
+
+
+def test_many_terms_add_up_as_few_do(spark):
+    from parcelry.operators.regression import NARROW, linear_expression
+
+    weights = {f"c{i}": 0.5 * i - 2 for i in range(3 * NARROW)}
+    rows = [tuple(float(r * i % 7) for i in range(len(weights))) for r in range(5)]
+    rows.append((None, *rows[0][1:]))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in weights))
+    found = [r[0] for r in df.select(linear_expression(1.5, weights)).collect()]
+    assert found == pytest.approx([1.5 + sum(x * w for x, w in zip(row, weights.values())) for row in rows[:-1]] + [None])
