@@ -2,14 +2,16 @@
 
 A text is a row of tokens, words and one end.  Words are spelled byte by byte and closed by a terminator; each byte is a
 path in a code tree, so a word is a row of bits.  For each bit, ORDERS bit predictors look up how often 0 and 1 came in
-their context before: the last 1, 2, 3 and 5 bytes of the word, and all of it.  A logistic mixer adds their stretched
+their context before: the last 1, 2 and 3 bytes of the word, the last 5 of the text, and the word so far.  A logistic mixer adds their stretched
 predictions with weights that a gate chooses by how much the longer contexts have seen; the weights are learned online, and
 a last table, by tree node and prediction, corrects what the mixer tends to get wrong.
 
-Words are independent of each other here, so everything is learned and scored once per distinct word.  Predictors count
-all words of all training documents into hashed tables of fixed size.  The mixer learns from the same words with the
-occurrence at hand taken out of the counts, as if it were new.  Scores are frozen: a text's score depends on no other text
-that is scored.
+The order of 5 crosses the border of a word: its first HEAD bytes are predicted from the blank before it and from the end of the
+word before as well.  Each of them depends on the REACH bytes before it and on nothing else, so everything about them is learned and
+scored once per distinct window of REACH bytes and the byte that follows.  Later bytes depend on their own word alone and are learned and
+scored once per distinct word.  Predictors count all windows and words of all training documents into hashed tables of fixed
+size.  The mixer learns from the same windows and words with the occurrence at hand taken out of the counts, as if it were
+new.  Scores are frozen: a text's score depends on no other text that is scored.
 """
 
 import heapq
@@ -17,6 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -31,6 +34,10 @@ ENOUGH = 65_535
 GATES = 48
 BUCKETS = 24
 STOP = 256
+#: The order that crosses a word's border, and how many bytes of a word so see the word before it.
+REACH = max(order for order in ORDERS if order)
+HEAD = REACH - 1
+PAD = 0x20
 #: The end of a text as a word: no word holds a blank byte.
 END = b"\n"
 END_HASH = 1
@@ -40,6 +47,8 @@ WORDS_A_PART, LEAST_PARTS = 500_000, 4
 #: A word with at least this fraction of all tokens is looked up in a broadcast table, which so has 2^22 rows at most.
 FREQUENT = 1 / (1 << 22)
 RATE = 0.15
+#: Windows that a counting task holds, windows priced at once, and log2 of those whose price a worker keeps.
+HELD, WINDOWS_A_STEP, KEPT_BITS = 1 << 20, 20_000, 21
 
 
 class Code:
@@ -64,29 +73,84 @@ class Code:
                 self.node[s, k], self.bit[s, k] = n, b
 
 
-def bits_of(words, code):
-    """All bits of some words: slot in each order's table, tree node, bit, and the word of each."""
-    sizes = np.array([len(w) + 1 for w in words])
-    flat = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.uint64)
-    n = len(flat)
-    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    place = np.arange(n) - start
-    Powers.reach(n)
-    sums = np.r_[np.zeros(1, np.uint64), np.cumsum((flat + np.uint64(1)) * Powers.up[:n])]
-    symbol = flat.astype(np.int64)
-    symbol[np.cumsum(sizes) - 1] = STOP
+def coded(flat, at, place, symbol, code):
+    """All bits of some symbols: slot in each order's table, tree node, bit, and the symbol of each.
+
+    ``at`` is where each symbol stands in ``flat``, with REACH bytes of context before it, and ``place`` is its place in its word.
+    """
     size = code.size[symbol]
-    byte = np.repeat(np.arange(n), size)
-    step = np.arange(len(byte)) - np.repeat(np.cumsum(size) - size, size)
-    node, bit = code.node[symbol[byte], step], code.bit[symbol[byte], step]
+    of = np.repeat(np.arange(len(at)), size)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    node, bit = code.node[symbol[of], step], code.bit[symbol[of], step]
     spread = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    Powers.reach(len(flat))
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum((flat + np.uint64(1)) * Powers.up[: len(flat)])]
     slots = []
     for k, order in enumerate(ORDERS):
-        reach = place if order is None else np.minimum(place, order)
-        at = np.arange(n) - reach
-        context = mixed((sums[np.arange(n)] - sums[at]) * Powers.down[at] + (reach + 64 * k + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        slots.append((((context[byte] + spread) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64))
-    return slots, node, bit, np.repeat(np.arange(len(words)), np.add.reduceat(size, np.cumsum(sizes) - sizes))
+        reach = np.full(len(at), REACH) if order == REACH else place if order is None else np.minimum(place, order)
+        since = at - reach
+        context = mixed((sums[at] - sums[since]) * Powers.down[since] + (reach + 64 * k + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        slots.append((((context[of] + spread) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS[k])).astype(np.int64))
+    return slots, node, bit, of
+
+
+def bits_of(words, code, before=None, first=0):
+    """All bits of some words from place ``first`` on: slot in each order's table, tree node, bit, and the word of each.
+
+    ``before`` are the words before them; without it, each word is the first of a text, which stands behind the end of another.
+    """
+    if before is None:
+        lead = (bytes([PAD]) * HEAD + END)[-HEAD:] + bytes([PAD])
+        data = lead + (b"\0" + lead).join(words) + b"\0"
+    else:
+        data = b"".join((bytes([PAD]) * HEAD + b)[-HEAD:] + bytes([PAD]) + w + b"\0" for b, w in zip(before, words)) + b"\0"
+    flat = np.frombuffer(data, np.uint8).astype(np.uint64)
+    sizes = np.array([len(w) + 1 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = place + np.repeat(np.cumsum(sizes + REACH) - sizes, sizes)
+    symbol = flat[at].astype(np.int64)
+    symbol[np.cumsum(sizes) - 1] = STOP
+    kept = place >= first
+    slots, node, bit, of = coded(flat, at[kept], place[kept], symbol[kept], code)
+    return slots, node, bit, word[kept][of]
+
+
+def windows_of(tokens, n_texts):
+    """The windows of the first HEAD places of all words and of the texts' ends, place by place: (keys, text of each).
+
+    A key is the place and, without the blank between the words, the REACH bytes that end with the one at the place. The word
+    before is padded in front and a word that ends early behind, both with the blank, which no word holds; so a window that ends
+    with it is that of the terminator.
+    """
+    size, last = tokens.stop - tokens.start, len(tokens.data) - 1
+    tail, head = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+    for k in range(HEAD):
+        tail = tail << np.uint64(8) | np.where(size >= HEAD - k, tokens.data[np.maximum(tokens.stop - HEAD + k, 0)], PAD).astype(np.uint64)
+        head = head << np.uint64(8) | np.where(size > k, tokens.data[np.minimum(tokens.start + k, last)], PAD).astype(np.uint64)
+    start, end = np.uint64(int.from_bytes((bytes([PAD]) * HEAD + END)[-HEAD:])), np.uint64(int.from_bytes((END + bytes([PAD]) * HEAD)[:HEAD]))
+    filled = np.diff(tokens.first) > 0
+    before, closing = np.r_[start, tail[:-1]][: len(tail)], np.full(n_texts, start)
+    before[tokens.first[:-1][filled]] = start
+    closing[filled] = tail[tokens.first[1:][filled] - 1]
+    both = np.r_[before, closing] << np.uint64(8 * HEAD) | np.r_[head, np.full(n_texts, end)]
+    text = np.r_[tokens.text, np.arange(n_texts)]
+    for k in range(HEAD):
+        if k:
+            open_ = both >> np.uint64(8 * (HEAD - k)) & np.uint64(255) != PAD
+            both, text = both[open_], text[open_]
+        yield both >> np.uint64(8 * (HEAD - 1 - k)) & np.uint64((1 << 8 * REACH) - 1) | np.uint64(k << 8 * REACH), text
+
+
+def bits_of_windows(keys, code):
+    """All bits of the last symbols of some windows: slot in each order's table, tree node, bit, and the window of each."""
+    place = (keys >> np.uint64(8 * REACH)).astype(np.int64)
+    data = keys[:, None] >> np.arange(8 * HEAD, -1, -8).astype(np.uint64) & np.uint64(255)
+    column, blank = np.arange(REACH + 1), (HEAD - place)[:, None]
+    flat = np.where(column < blank, data[:, np.minimum(column, HEAD)], np.where(column == blank, np.uint64(PAD), data[:, np.maximum(column - 1, 0)]))
+    symbol = flat[:, REACH].astype(np.int64)
+    symbol[symbol == PAD] = STOP
+    return coded(flat.ravel(), np.arange(len(keys)) * (REACH + 1) + REACH, place, symbol, code)
 
 
 def stretch(p):
@@ -100,7 +164,7 @@ def squash(x):
 class Mixer:
     def __init__(self, code, tables):
         """tables: for each order, how often 0 and 1 came in each slot, two columns."""
-        self.code, self.tables = code, tables
+        self.code, self.tables, self.kept = code, tables, None
         self.weights = np.tile([0.1, 0.1, 0.2, 0.3, 0.6], (GATES, 1))
         self.bend = np.full((GATES, len(ORDERS)), 50.0)
         self.fix = np.zeros((257, BUCKETS, 2))
@@ -126,11 +190,13 @@ class Mixer:
         w = self.weights[gate]
         return squash(sum(w[:, k] * x[k] for k in range(len(ORDERS))))
 
-    def learn(self, words, weight, rate):
-        slots, node, bit, word = bits_of(words, self.code)
+    def learn(self, words, weight, windows, window_weight, rate):
+        parts = [(bits_of(words, self.code, first=HEAD), weight), (bits_of_windows(windows, self.code), window_weight)]
+        slots = [np.concatenate(s) for s in zip(*(bits[0] for bits, _ in parts))]
+        node, bit = (np.concatenate([bits[k] for bits, _ in parts]) for k in (1, 2))
+        each = np.concatenate([w[bits[3]] for bits, w in parts])
         x, gate = self.inputs(slots, bit)
         p = self.mix(x, gate)
-        each = weight[word]
         err = (bit - p) * each
         curve = p * (1 - p) * each
         for k in range(len(ORDERS)):
@@ -145,19 +211,61 @@ class Mixer:
     def bucket(p):
         return np.clip((stretch(p) + 12) * (BUCKETS / 24), 0, BUCKETS - 1).astype(np.int64)
 
-    def log10(self, words):
-        """log10 probability of each word."""
-        slots, node, bit, word = bits_of(words, self.code)
+    def log10(self, words, before=None, first=0):
+        """log10 probability of each word, from place ``first`` on, after the words ``before``."""
+        return self.sums(bits_of(words, self.code, before, first), len(words))
+
+    def log10_windows(self, keys):
+        """log10 probability of the last symbol of each window."""
+        return self.sums(bits_of_windows(keys, self.code), len(keys))
+
+    def prices(self):
+        """Prices of windows, kept for all tasks of a worker."""
+        if self.kept is None:
+            self.kept = Prices(self)
+        return self.kept
+
+    def sums(self, bits, n_units):
+        slots, node, bit, unit = bits
         p = self.mix(*self.inputs(slots))
         n = self.fix[node, self.bucket(p)]
         # the table is trusted by how much it has seen
         p = (p * 8 + n[:, 1]) / (8 + n.sum(axis=1)) * 0.5 + p * 0.5
         p = np.clip(p, 1e-6, 1 - 1e-6)
-        return np.bincount(word, np.log10(np.where(bit == 1, p, 1 - p)), len(words))
-
-
-def word_table(docs, holdout):
-    """Each distinct word with its number of occurrences in training documents (``c``) and in all (``c_all``)."""
+        return np.bincount(unit, np.log10(np.where(bit == 1, p, 1 - p)), n_units)
+
+
+class Prices:
+    """The mixer's prices of windows. Each kept one stands at the first of its two places if that was free, else at the second."""
+
+    def __init__(self, mixer):
+        self.mixer, self.keys, self.found = mixer, np.full(1 << KEPT_BITS, ~np.uint64(0)), np.zeros(1 << KEPT_BITS)
+
+    def places(self, keys):
+        h = mixed(keys)
+        return h >> np.uint64(64 - KEPT_BITS), h & np.uint64((1 << KEPT_BITS) - 1)
+
+    def of(self, keys):
+        first, second = self.places(keys)
+        found, new = self.found[first], np.flatnonzero(self.keys[first] != keys)
+        found[new] = self.found[second[new]]
+        new = new[self.keys[second[new]] != keys[new]]
+        if len(new):
+            some, like = np.unique(keys[new], return_inverse=True)
+            price = np.concatenate([self.mixer.log10_windows(some[a : a + WINDOWS_A_STEP]) for a in range(0, len(some), WINDOWS_A_STEP)])
+            found[new] = price[like]
+            first, second = self.places(some)
+            free = self.keys[first] == ~np.uint64(0)
+            self.keys[first[free]], self.found[first[free]] = some[free], price[free]
+            left = self.keys[first] != some
+            self.keys[second[left]], self.found[second[left]] = some[left], price[left]
+        return found
+
+
+def unit_table(docs, holdout):
+    """Each distinct word with its number of occurrences in training documents (``c``) and in all (``c_all``), and each distinct
+    window of training documents (``key``, the word is null) with its number there (``c``).
+    """
     rows = texts(docs).select(F.coalesce(remainder("doc_id", holdout) != 0, F.lit(True)).alias("train"), F.col("text").cast("binary").alias("text"))
 
     def tally(batches):
@@ -166,19 +274,48 @@ def word_table(docs, holdout):
         def rows_of():
             for train, counts in held.items():
                 words, n = list(counts), pa.array(list(counts.values()), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), n if train else pa.array([0] * len(words), pa.int64()), n], names=["word", "c", "c_all"])
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.nulls(len(words), pa.int64()), n if train else pa.array([0] * len(words), pa.int64()), n], names=["word", "key", "c", "c_all"])
                 counts.clear()
 
+        def window_rows(keys, n):
+            return pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(n), pa.array(np.zeros(len(n), np.int64))], names=["word", "key", "c", "c_all"])
+
+        def merged(parts):
+            keys, like = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            return keys, np.bincount(like, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+        seen, size = [], 0
         for batch in batches:
+            learned = []
             for train, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts = held[train]
                 counts.update(text.lower().split())
                 counts[END] += 1
+                if train:
+                    learned.append(text)
             if len(held[True]) + len(held[False]) > 400_000:
                 yield from rows_of()
+            for s in in_chunks(learned):
+                seen.append(np.unique(np.concatenate([k for k, _ in windows_of(Tokens(learned[s]), s.stop - s.start)]), return_counts=True))
+                size += len(seen[-1][0])
+                if size > HELD:
+                    seen = [merged(seen)]
+                    size = len(seen[0][0])
+                    if size > HELD // 2:
+                        yield window_rows(*seen.pop())
+                        size = 0
         yield from rows_of()
+        if seen:
+            yield window_rows(*merged(seen))
+
+    return rows.mapInArrow(tally, "word binary, key long, c long, c_all long").groupBy("word", "key").agg(F.sum("c").alias("c"), F.sum("c_all").alias("c_all"))
+
 
-    return rows.mapInArrow(tally, "word binary, c long, c_all long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("c_all").alias("c_all"))
+def units_of(batch):
+    """Words and their counts, windows and their counts of a batch with ``word``, ``key`` and ``c``."""
+    is_word = batch.column(0).is_valid()
+    words, windows = batch.filter(is_word), batch.filter(pc.invert(is_word))
+    return words.column(0).to_pylist(), words.column(2).to_numpy(), windows.column(1).to_numpy().view(np.uint64), windows.column(2).to_numpy()
 
 
 def in_steps(batches, size=WORDS_A_STEP):
@@ -187,15 +324,15 @@ def in_steps(batches, size=WORDS_A_STEP):
             yield batch.slice(a, size)
 
 
-def train(words, n_parts):
-    """A mixer from the stored word table. What reaches the driver has a fixed size: tables, weights, corrections.
+def train(units, n_parts):
+    """A mixer from the stored table of words and windows. What reaches the driver has a fixed size: tables, weights, corrections.
 
-    Counts are whole numbers, so they do not depend on the order in which tasks add them up; each learner takes the words of
-    one hash shard in the order of their hashes, and the learners are averaged by their words in the order of the shards.  So
+    Counts are whole numbers, so they do not depend on the order in which tasks add them up; each learner takes the words and windows
+    of one hash shard in the order of their hashes, and the learners are averaged by their numbers in the order of the shards.  So
     the model is the same under any partitioning of the table.
     """
-    context = words.sparkSession.sparkContext
-    known = words.where("c > 0").select("word", "c")
+    context = units.sparkSession.sparkContext
+    known = units.where("c > 0").select("word", "key", "c")
 
     def bytes_seen(batches):
         total = np.zeros(257)
@@ -205,7 +342,7 @@ def train(words, n_parts):
             total[256] += n.sum()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(257)), pa.array(total)], names=["byte", "n"])
 
-    seen = known.mapInArrow(bytes_seen, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect()
+    seen = known.where("key is null").select("word", "c").mapInArrow(bytes_seen, "byte long, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(257)
     for r in seen:
         counts[r["byte"]] = r["n"]
@@ -214,10 +351,11 @@ def train(words, n_parts):
     def count_bits(batches):
         tables = [np.zeros(2 << n, np.int64) for n in SLOT_BITS]
         for batch in in_steps(batches):
-            slots, _, bit, word = bits_of(batch.column(0).to_pylist(), code)
-            weight = batch.column(1).to_numpy()[word]
-            for table, slot in zip(tables, slots):
-                np.add.at(table, slot * 2 + bit, weight)
+            words, c, windows, window_c = units_of(batch)
+            for (slots, _, bit, unit), n in ((bits_of(words, code, first=HEAD), c), (bits_of_windows(windows, code), window_c)):
+                weight = n[unit]
+                for table, slot in zip(tables, slots):
+                    np.add.at(table, slot * 2 + bit, weight)
         for k, table in enumerate(tables):
             for a in range(0, len(table), SLICE):
                 at = np.flatnonzero(table[a : a + SLICE])
@@ -242,36 +380,39 @@ def train(words, n_parts):
     shared = context.broadcast(mixer)
 
     def learn(batches):
-        shard, own, seen, held = None, None, 0, ([], [])
+        shard, own, seen, held = None, None, 0, ([], [], [], [])
 
         def step():
-            """Steps have the same words however the batches are cut."""
+            """Steps have the same words and windows however the batches are cut."""
             nonlocal seen
-            if held[0]:
-                own.learn(held[0], np.array(held[1], float), RATE / (1 + seen / 200_000) ** 0.5)
-                seen += len(held[0])
-                held[0].clear(), held[1].clear()
+            n = len(held[0]) + len(held[2])
+            if n:
+                own.learn(held[0], np.array(held[1], float), np.array(held[2], np.uint64), np.array(held[3], float), RATE / (1 + seen / 200_000) ** 0.5)
+                seen += n
+                for x in held:
+                    x.clear()
 
         def done():
             step()
             return pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([own.weights.tobytes()]), pa.array([own.fix.tobytes()]), pa.array([seen])], names=["shard", "weights", "fix", "n"])
 
         for batch in batches:
-            for word, n, k in zip(*(c.to_pylist() for c in batch.columns)):
+            for word, key, n, k in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != shard:
                     if own:
                         yield done()
                     shard, own, seen = k, Mixer(shared.value.code, shared.value.tables), 0
-                held[0].append(word)
-                held[1].append(n)
-                if len(held[0]) == WORDS_A_STEP:
+                unit = 0 if key is None else 2
+                held[unit].append(word if key is None else key)
+                held[unit + 1].append(n)
+                if len(held[0]) + len(held[2]) == WORDS_A_STEP:
                     step()
         if own:
             yield done()
 
-    order = F.xxhash64("word")
-    dealt = known.withColumn("shard", F.pmod(order, F.lit(n_parts))).repartition(n_parts, "shard").sortWithinPartitions("shard", order, "word")
-    learned = sorted(dealt.select("word", "c", "shard").mapInArrow(learn, "shard long, weights binary, fix binary, n long").collect(), key=lambda r: r["shard"])
+    order = F.xxhash64("word", "key")
+    dealt = known.withColumn("shard", F.pmod(order, F.lit(n_parts))).repartition(n_parts, "shard").sortWithinPartitions("shard", order, "word", "key")
+    learned = sorted(dealt.select("word", "key", "c", "shard").mapInArrow(learn, "shard long, weights binary, fix binary, n long").collect(), key=lambda r: r["shard"])
     total = sum(r["n"] for r in learned)
     if total:
         mixer.weights = sum(np.frombuffer(r["weights"]).reshape(GATES, -1) * (r["n"] / total) for r in learned)
@@ -281,13 +422,13 @@ def train(words, n_parts):
 
 
 def score_words(words, mixer):
-    """``hash``, ``c``, ``c_all`` and ``spelled`` (log10 probability) of each word of the table."""
+    """``hash``, ``c``, ``c_all`` and ``spelled`` (log10 probability behind the first HEAD bytes) of each word of the table."""
 
     def run(batches):
         for batch in in_steps(batches):
             data = batch.column(0).to_pylist()
             hashes = Tokens([b" ".join(data)]).hash if END not in data else np.array([END_HASH if w == END else Tokens([w]).hash[0] for w in data], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column(1), batch.column(2), pa.array(mixer.value.log10(data))], names=["hash", "c", "c_all", "spelled"])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column(1), batch.column(2), pa.array(mixer.value.log10(data, first=HEAD))], names=["hash", "c", "c_all", "spelled"])
 
     return words.mapInArrow(run, "hash long, c long, c_all long, spelled double")
 
@@ -301,10 +442,11 @@ def score(docs, holdout=10):
     Repeated rows are counted and scored each; without training documents every bit has probability one half.
     """
     spark = ready(docs.sparkSession)
-    words = settled(word_table(docs, holdout), "words")
-    n, v, n_all, size = words.select(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum("c_all"), F.count("*")).first()
+    units = settled(unit_table(docs, holdout), "units")
+    words = units.where("key is null").select("word", "c", "c_all")
+    n, v, n_all = words.select(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum("c_all")).first()
     n, v, n_all = n or 0, v or 0, n_all or 0
-    mixer = train(words, max(LEAST_PARTS, -(-size // WORDS_A_PART)))
+    mixer = train(units, max(LEAST_PARTS, -(-units.count() // WORDS_A_PART)))
     scored = settled(score_words(words, mixer), "scored")
     spread = n + 0.1 * (v + 1)
     # at most 1 / FREQUENT rows of three numbers
@@ -320,6 +462,7 @@ def score(docs, holdout=10):
         hashes, c, spelled = known.value
         hashes = hashes.view(np.uint64)
         base = np.log10((c + 0.1) / spread)
+        prices = mixer.value.prices()
         for batch in batches:
             ids, data = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for s in in_chunks(data):
@@ -328,6 +471,8 @@ def score(docs, holdout=10):
                 at = np.minimum(np.searchsorted(hashes, word), max(len(hashes) - 1, 0))
                 hit = hashes[at] == word if len(hashes) else np.zeros(len(word), bool)
                 sums = [np.bincount(text[hit], x[at[hit]], m) if len(x) else np.zeros(m) for x in ((c > 0).astype(float), base, spelled)]
+                for keys, owner in windows_of(tokens, m):
+                    sums[2] += np.bincount(owner, prices.of(keys), m)
                 count = np.bincount(text, minlength=m)
                 key = part + row + np.arange(m)
                 row += m

@@ -81,6 +81,40 @@ def test_mixing_learns(spark):
     assert np.mean(held) > -6 * math.log10(2) and scored[1000] < -4
 
 
+def test_mixing_contexts_cross_the_border_of_a_word(spark):
+    """Bits of a word's first bytes depend on the word before it, those behind them do not."""
+    code = mixing.Code(np.arange(257))
+    place = np.repeat(np.arange(6), code.size[list(b"house") + [mixing.STOP]])
+    for k, order in enumerate(mixing.ORDERS):
+        the, old, bold = (mixing.bits_of([b"house"], code, [before])[0][k] for before in (b"the", b"old", b"bold"))
+        assert set(place[the != old]) == set(range(4) if order == 5 else ())
+        assert set(place[old != bold]) == set(range(1) if order == 5 else ())
+    turned = " ".join(reversed(ENGLISH))
+    docs = spark.createDataFrame(list(enumerate(sentences(ENGLISH, 50, 1))) + [(100, " ".join(ENGLISH)), (101, turned)], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in mixing.score(docs).collect()}
+    assert abs(found[100] - found[101]) > 1e-6
+
+
+@pytest.mark.parametrize("kept", [2, 21])
+def test_mixing_windows_and_words_add_up_to_the_text(monkeypatch, kept):
+    """First bytes by windows and the rest by words give what each word costs in its place, whether priced now or before."""
+    monkeypatch.setattr(mixing, "KEPT_BITS", kept)
+    rng = np.random.default_rng(1)
+    code = mixing.Code(np.arange(257))
+    mixer = mixing.Mixer(code, [rng.integers(0, 50, (1 << n, 2)).astype(np.uint16) for n in mixing.SLOT_BITS])
+    texts = ["the old house", "", " \t ", "a", "a  b\nabcd abc\x00 ABCDE", "ab straße 漢字 " + "x" * 300, "\x00 \x00\x00\x00\x00 y", "the old house"]
+    data = [t.encode() for t in texts]
+    prices, found = mixing.Prices(mixer), np.zeros(len(texts))
+    for _ in range(2):
+        found[:] = 0
+        for keys, owner in mixing.windows_of(hashing.Tokens(data), len(data)):
+            found += np.bincount(owner, prices.of(keys), len(data))
+    for t, got in zip(data, found):
+        words = t.lower().split() + [mixing.END]
+        wanted = mixer.log10(words, [mixing.END, *words[:-1]]).sum()
+        assert got + mixer.log10(words, first=mixing.HEAD).sum() == pytest.approx(wanted, rel=1e-9)
+
+
 # --- quality ----------------------------------------------------------------
 
 
