@@ -4,28 +4,30 @@ from pyspark.sql import Window, functions as F, types as T
 
 from parcelry.operators.lookup import MAX_ROWS, collect_bounded, lookup, settle
 from parcelry.operators.prep.base import PreprocessingStrategy, as_list
-from parcelry.session import shared_folder, written
+from parcelry.session import written
 
 
 def sorted_codes(values, column, name="code", max_rows=MAX_ROWS):
     """Rows of the distinct ``values`` with their rank 0..k-1 in sort order.
 
-    A small set is sorted as local rows. A big one is range-partitioned and
-    saved, so that the ranks within a partition and the partition offsets refer
-    to the same partitions.
+    The values are computed once. A small set is sorted as local rows. A big
+    one is range-partitioned, sorted and saved with each row's place, so that
+    the places within a partition and the partition offsets refer to the same
+    partitions.
     """
-    rows = collect_bounded(values.select(column), max_rows)
+    values = written(values.select(column), "values")
+    rows = collect_bounded(values, max_rows)
     if rows is not None:
         kind = values.schema[column].dataType.simpleString()
         numbered = [(v, i) for i, v in enumerate(sorted(r[0] for r in rows))]
         return values.sparkSession.createDataFrame(numbered, f"`{column}` {kind}, `{name}` bigint")
-    shared_folder(values.sparkSession)
-    parts = values.repartitionByRange(column).select(column, F.spark_partition_id().alias("__p")).checkpoint()
-    sizes = parts.groupBy("__p").count()
+    # the id holds the partition and, in its lower 33 bits, the row's place in it
+    parts = written(values.repartitionByRange(column).sortWithinPartitions(column).select(column, F.monotonically_increasing_id().alias("__id")), "ranges")
+    parts = parts.select(column, F.shiftright("__id", 33).alias("__p"), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+    sizes = parts.groupBy("__p").agg((F.max("__at") + 1).alias("count"))
     # One row per partition, so this window stays small.
-    offsets = sizes.select("__p", (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__o"))
-    within = parts.withColumn(name, F.row_number().over(Window.partitionBy("__p").orderBy(column)) - 1)
-    return written(within.join(offsets, "__p").select(column, (F.col(name) + F.col("__o")).cast("bigint").alias(name)), "codes")
+    offsets = written(sizes.select("__p", (F.sum("count").over(Window.orderBy("__p")) - F.col("count")).alias("__o")), "offsets")
+    return parts.join(F.broadcast(offsets), "__p").select(column, (F.col("__at") + F.col("__o")).cast("bigint").alias(name))
 
 
 class LabelEncoding(PreprocessingStrategy):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelry.operators.explore import box_stats
+from parcelry.operators import skew
 from parcelry.operators.lookup import lookup, salted_join
 from parcelry.operators.quantiles import column_quantiles, group_quantiles
 
@@ -53,6 +54,22 @@ def test_salted_join_equals_plain_join(spark):
         assert sorted(map(str, lookup(df, table, "k", how, max_rows=3).collect())) == plain
 
 
+def test_salted_join_copies_only_what_is_hot(spark, monkeypatch):
+    rows = [(None if k % 7 == 0 else 0 if k % 3 == 0 else k % 50, k % 2, k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "k int, j int, id int").repartition(3)
+    table = spark.createDataFrame([(k, j, (k or 0) * 10 + j) for k in [*range(0, 50, 2), None] for j in (0, 1, 1)], "k int, j int, w int")
+    copied = lambda found: "Generate" in found._jdf.queryExecution().optimizedPlan().toString()
+    for on in (["k"], ["k", "j"]):
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            plain = df.join(table, on, how)
+            for floor in (10_000, 20):
+                monkeypatch.setattr(skew, "FLOOR", floor)
+                monkeypatch.setattr(skew, "SHARE", 2048)
+                found = salted_join(df, table, on, how)
+                assert found.columns == plain.columns and copied(found) == (floor == 20)
+                assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
 @pytest.mark.parametrize("chunks", [1, 7, 256])
 def test_steps_of_a_bracket_without_ties(spark, monkeypatch, chunks):
     from parcelry.operators import quantiles
