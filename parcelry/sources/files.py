@@ -92,7 +92,7 @@ def append_jsonl(df, path):
 
 
 def write_table(df, path, format="csv", partition_by=()):
-    """Write to ``path.format`` and return it; an unknown format is refused before any work."""
+    """Write to ``path.format`` and return it; an unknown format is refused before any work. JSON is written with gzip, which its readers undo."""
     if format not in FORMATS:
         raise ValueError(f"unsupported format {format!r}: use one of {', '.join(FORMATS)}")
     target = f"{path}.{format}"
@@ -101,17 +101,26 @@ def write_table(df, path, format="csv", partition_by=()):
         writer = writer.partitionBy(*partition_by)
     if format == "csv":
         writer = writer.option("header", True).option("escape", '"')
+    if format == "json":
+        writer = writer.option("compression", "gzip")
     getattr(writer, format)(target)
     return target
 
 
 def save_dataset(df, filename, folder, formats=(), label_maps=None):
-    """Write a table in several formats, and its label dictionaries beside it."""
+    """Write a table in several formats, and its label dictionaries beside it.
+
+    The table is computed once if parquet is among the formats: the others are written from what is read back.
+    """
     for format in formats:
         if format not in FORMATS:
             raise ValueError(f"unsupported format {format!r}: use one of {', '.join(FORMATS)}")
     base = f"{folder.rstrip('/')}/{filename}"
-    paths = [write_table(df, base, format) for format in formats]
+    if "parquet" in formats and len(formats) > 1:
+        df = df.sparkSession.read.schema(df.schema).parquet(write_table(df, base, "parquet"))
+        paths = [f"{base}.parquet" if format == "parquet" else write_table(df, base, format) for format in formats]
+    else:
+        paths = [write_table(df, base, format) for format in formats]
     for name, labels in (label_maps or {}).items():
         paths.append(write_label_map(labels, f"{base}_{name}_mapping"))
     return paths

@@ -26,3 +26,18 @@ def test_jsonl_keeps_every_record(spark, tmp_path):
     assert rows["1"]["area_m2"] == 60 and rows["3"]["frontage"] is True and rows["4"]["floors"] == 2
     assert rows["5"]["area_m2"] is None and rows["5"]["title"] == "t"
     assert tuple(files.rejected_lines(spark, str(path)).first()) == (4, 1)
+
+
+def test_a_dataset_in_two_formats_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(40).selectExpr("id", "if(id % 3 = 0, null, concat('é \\n', id)) AS title", "id / 8 AS price").mapInArrow(counted, "id long, title string, price double")
+    paths = files.save_dataset(rows, "listings", str(tmp_path), ["json", "parquet"])
+    assert [p.rsplit(".")[-1] for p in paths] == ["json", "parquet"] and seen.value == 40
+    a, b = spark.read.schema(rows.schema).json(paths[0]), spark.read.parquet(paths[1])
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() == 40
