@@ -1,6 +1,10 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import extract
 from parcelry.functions import listing as L, scalar as S, text as T
 from parcelry.operators.joins import merged_province
 from parcelry.plans import extraction
@@ -114,3 +118,64 @@ def test_a_text_is_computed_once(spark, build):
 def test_compositions_lie_in_small_maps():
     sizes = [part.count("'") // 4 for part in T.composition_buckets().split("map(")[1:]]
     assert len(sizes) == T.BUCKETS and max(sizes) < 16 and sum(sizes) == len(T.compositions()) + T.BUCKETS
+
+
+def cut_by_counting(page):
+    """Links of the card container by counting its tags one by one."""
+    opening = re.search(r'(?s)<div[^>]*class="gap-24 d-flex flex-column card-container"[^>]*>', page)
+    inside = page[opening.end():] if opening else ""
+    depth = 0
+    for tag in re.finditer(r"(?i)<div(?=[\s>/])|</div\s*>", inside):
+        depth += -1 if tag.group().endswith(">") else 1
+        if depth < 0:
+            inside = inside[: tag.end()]
+            break
+    return [a for a in re.findall(r"(?s)<a\s[^>]*>.*?</a>", inside) if "card-cm" in a]
+
+
+def test_cards_end_with_their_container_however_deep_it_is(spark):
+    draw = random.Random(4)
+    parts = ["<div>", "<DIV class='x'>", "</div>", "</div >", "</Div\n>", "<divider>", "<", "</di", "<br/>", "text <b>ừ</b>\n", "</div", "<div"]
+    wrap = lambda inside: f'<p>no</p><div id="c" class="gap-24 d-flex flex-column card-container">{inside}'
+    link = lambda i: f'<a class="card-cm" href="/{i}"><div>a < b</div></a>'
+    pages = [wrap("".join([link(0), *(draw.choice([*parts, "<div>", "</div>", link(i)]) for i in range(1, 40)), link(40)])) for _ in range(150)]
+    pages += [wrap("<div>" * n + link(1) + "</div>" * (n + 1) + link(2)) for n in range(9)]
+    pages += [wrap("<div>" + link(1)) + wrap(link(2) + "</div>" + link(3)), "", "<div>", wrap("")]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", L.card_blocks("html").alias("c")).collect()
+    got = {r["i"]: r["c"] for r in rows}
+    assert [got[i] for i in range(len(pages))] == [cut_by_counting(p) for p in pages]
+    assert any(len(c) > 2 for c in got.values()) and got[158] == [link(1)]
+
+
+@pytest.fixture
+def places_and_lines(spark, tmp_path):
+    tables = {
+        "lineitem": spark.createDataFrame([(k, k % 7, k % 3, k % 5, float(k)) for k in range(20)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"),
+        "supplier": spark.createDataFrame([(0, 0), (1, 1), (1, 0)], "s_suppkey long, s_nationkey long"),
+        "nation": spark.createDataFrame([(0, "Ba Đình", 0), (1, "Thủ Đức", 0)], "n_nationkey long, n_name string, n_regionkey long"),
+        "region": spark.createDataFrame([(0, "Hà Nội")], "r_regionkey long, r_name string"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_line_items_are_dealt_out_before_their_pages_are_read(spark, places_and_lines):
+    pages = extract.listing_pages(spark, places_and_lines)
+    assert "ShuffledHashJoin [l_suppkey" in pages._jdf.queryExecution().executedPlan().toString()
+    # suppliers 0 and 1 have 14 of the 20 lines, and supplier 1 is there twice
+    assert pages.count() == 7 + 2 * 7
+
+
+@pytest.mark.parametrize("tag, css", [("div", "time"), ("h3", "title"), ("h3", None)])
+def test_elements_are_read_from_tag_to_tag(spark, tag, css):
+    # not character by character; the content is that of the plain pattern
+    assert "*?<" not in L.element_pattern(tag, css) and ".*?" not in L.element_pattern(tag, css)
+    plain = rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>" if css is None else rf'(?s)<{tag}\s[^>]*?class="(?:[^"]*\s)?{css}(?:\s[^"]*)?"[^>]*>(.*?)</{tag}>'
+    draw = random.Random(5)
+    parts = [f'<{tag} class="{css}">', f'<{tag} id="1" class="x {css} y" z>', f"<{tag}>", f'<{tag} class="a > {css}">', f"</{tag}>", f"</{tag} >", "</", "<", ">", "\n", "ừ 😀", "<b>"]
+    rows = list(enumerate("".join(draw.choice(parts) for _ in range(12)) for _ in range(300)))
+    got = spark.createDataFrame(rows, "i int, m string").select("i", L.elements("m", tag, css).alias("all"), L.element("m", tag, css).alias("one")).collect()
+    wanted = {i: re.findall(plain, m) for i, m in rows}
+    assert {r["i"]: r["all"] for r in got} == wanted
+    assert {r["i"]: r["one"] for r in got} == {i: (w or [""])[0] for i, w in wanted.items()}
