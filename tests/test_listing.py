@@ -120,6 +120,13 @@ def test_compositions_lie_in_small_maps():
     assert len(sizes) == T.BUCKETS and max(sizes) < 16 and sum(sizes) == len(T.compositions()) + T.BUCKETS
 
 
+def test_the_texts_of_a_card_are_made_ready_once(spark):
+    pages = spark.createDataFrame([("v", "<p>none</p>")], "url string, html string")
+    plan = extraction.listings_from_pages(pages, "https://h.example/")._jdf.queryExecution().optimizedPlan().toString()
+    # title, facts, age and price: each text is tested for marks, and each of its letters
+    assert plan.count(f", {T.MARKS})") == 8
+
+
 def cut_by_counting(page):
     """Links of the card container by counting its tags one by one."""
     opening = re.search(r'(?s)<div[^>]*class="gap-24 d-flex flex-column card-container"[^>]*>', page)
